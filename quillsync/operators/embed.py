@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +57,6 @@ def hashing_embedder(dim: int = EMBED_DIM) -> Callable[[Column], Column]:
 
 def pandas_embedder(fn: Callable[[list], list], dim: int | None = None):
     """Wrap a batch embedding function as an Arrow pandas UDF -> array<float>."""
-    import pandas as pd
 
     @F.pandas_udf("array<float>")
     def _embed(texts: pd.Series) -> pd.Series:
@@ -77,13 +77,28 @@ def pandas_embedder(fn: Callable[[list], list], dim: int | None = None):
     return _embed
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` plus column ``name`` evaluated exactly once per row.
+
+    A plain ``withColumn`` + ``where`` lets the optimizer push the filter
+    below the projection with the expression inlined, so an expensive value
+    (an embedding, a model call) would be computed twice.  A one-row
+    ``inline_outer`` generator is a boundary filters cannot cross.
+    """
+    return df.select("*", F.inline_outer(F.array(F.struct(value.alias(name)))))
+
+
 def embed(chunks: DataFrame, embedder: Callable[[Column], Column] | None = None,
           text_col: str = "content", run_ts: Column | None = None
           ) -> tuple[DataFrame, DataFrame]:
     """Chunks -> (chunks with ``embedding``, rejects for failed embeddings)."""
     fn = embedder or hashing_embedder()
+    return split_embedded(compute_once(chunks, "embedding", fn(F.col(text_col))), run_ts)
+
+
+def split_embedded(out: DataFrame, run_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows with an ``embedding`` column -> (embedded rows, rejects where it is null)."""
     ts = run_ts if run_ts is not None else F.current_timestamp()
-    out = chunks.withColumn("embedding", fn(F.col(text_col)))
     ok = out.where(F.col("embedding").isNotNull())
     bad = out.where(F.col("embedding").isNull()).select(
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quillsync.functions.text import is_blank, title_of
 from quillsync.operators.audit import delete_report, sync_report
 from quillsync.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS, make_chunks
-from quillsync.operators.embed import embed
+from quillsync.operators.embed import compute_once, embed, hashing_embedder, split_embedded
 from quillsync.operators.matching import CHANGED, NEW, mapped
 from quillsync.operators.store import (APPEND, REPLACE, _keys, delete_chunks, delete_documents,
                                        ids_by_titles, with_chunk_ids, write_snapshot)
@@ -83,9 +83,7 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
          version: str | int | None = None) -> SyncResult:
     """Full sync: list -> select -> land -> match -> insert -> chunk -> embed -> upsert."""
     cfg = cfg or SyncConfig()
-    ts = run_ts if run_ts is not None else F.lit(None).cast("timestamp")
-    if run_ts is None:
-        ts = F.current_timestamp()
+    ts = run_ts if run_ts is not None else F.current_timestamp()
     listed = list_source(manifest)
     landed = fetch(manifest, titles, all, cfg.match)
     src = landed_documents(landed)
@@ -109,7 +107,14 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
         stored = next_chunks.join(touched, "document_id", "left_semi") \
             if cfg.mode == REPLACE else stored
 
-    embedded, emb_rejects = embed(stored, cfg.embedder, run_ts=ts)
+    if out:
+        # one embedding pass, written once: vectors and rejects both read it
+        with_emb = write_snapshot(
+            compute_once(stored, "embedding", (cfg.embedder or hashing_embedder())(F.col("content"))),
+            out, "embedded", ver)
+        embedded, emb_rejects = split_embedded(with_emb, ts)
+    else:
+        embedded, emb_rejects = embed(stored, cfg.embedder, run_ts=ts)
     valid, vec_rejects = to_vectors(embedded, cfg.namespace, ts)
     base_vectors = vectors
     if cfg.mode == REPLACE:
