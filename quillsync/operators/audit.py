@@ -51,31 +51,38 @@ def count_of(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
+def _stacked(df: DataFrame, metrics: dict[str, F.Column]) -> DataFrame:
+    """One aggregation pass over ``df`` -> one ``(metric, value)`` row per metric."""
+    one = df.agg(*[c.cast("long").alias(f"m{i}") for i, c in enumerate(metrics.values())])
+    pairs = ", ".join(f"'{name}', m{i}" for i, name in enumerate(metrics))
+    return one.select(F.expr(f"stack({len(metrics)}, {pairs}) AS (metric, value)"))
+
+
 def sync_report(listed: DataFrame, landed: DataFrame, mapped_docs: DataFrame,
-                chunks: DataFrame, vectors: DataFrame, rejects: DataFrame) -> DataFrame:
-    """The run's counters: files listed / landed, documents mapped by status,
-    chunks written and documents chunked, vectors upserted, rejects."""
-    by_status = mapped_docs.agg(
-        F.count(F.lit(1)).alias("mapped"),
-        F.count(F.when(F.col("status") == "new", 1)).alias("new"),
-        F.count(F.when(F.col("status") == "changed", 1)).alias("changed"),
-        F.count(F.when(F.col("status") == "same", 1)).alias("same"))
-    ch = chunks.agg(F.count(F.lit(1)).alias("chunks"),
-                    F.countDistinct("document_id").alias("chunked_documents"),
-                    F.sum("token_count").alias("tokens"))
-    return metric_rows({
-        "files_listed": count_of(listed),
-        "files_landed": count_of(landed),
-        "documents_mapped": by_status.select("mapped"),
-        "documents_new": by_status.select("new"),
-        "documents_changed": by_status.select("changed"),
-        "documents_same": by_status.select("same"),
-        "chunks": ch.select("chunks"),
-        "chunked_documents": ch.select("chunked_documents"),
-        "chunk_tokens": ch.select("tokens"),
-        "vectors_upserted": count_of(vectors),
-        "rejects": count_of(rejects),
-    })
+                embedded_all: DataFrame) -> DataFrame:
+    """The run's counters, one aggregation pass per input.
+
+    ``embedded_all``: the run's chunk rows with their ``embedding`` column
+    (null where embedding failed), before the split into vectors/rejects.
+    """
+    from quillsync.operators.vectors import reject_reason
+    ok = reject_reason(embedded_all.columns).isNull()
+    one = F.lit(1)
+    return reduce(DataFrame.unionByName, [
+        _stacked(listed, {"files_listed": F.count(one)}),
+        _stacked(landed, {"files_landed": F.count(one)}),
+        _stacked(mapped_docs, {
+            "documents_mapped": F.count(one),
+            "documents_new": F.count(F.when(F.col("status") == "new", 1)),
+            "documents_changed": F.count(F.when(F.col("status") == "changed", 1)),
+            "documents_same": F.count(F.when(F.col("status") == "same", 1))}),
+        _stacked(embedded_all, {
+            "chunks": F.count(one),
+            "chunked_documents": F.countDistinct("document_id"),
+            "chunk_tokens": F.sum("token_count"),
+            "vectors_upserted": F.count(F.when(ok, 1)),
+            "rejects": F.count(F.when(~ok, 1))}),
+    ])
 
 
 def delete_report(ids: DataFrame, docs: DataFrame, chunks: DataFrame,

@@ -102,7 +102,7 @@ def _packed(docs: DataFrame, max_tokens: int, overlap: int, id_col: str, text_co
     sents = spread(docs).select(F.col(id_col).alias("document_id"),
                                 splitter(F.col(text_col)).alias("_sents"))
     toks = sents.withColumn("_toks", per_sentence(F.col("_sents")))
-    return toks.select("document_id", "_sents",
+    return toks.select("document_id", "_sents", "_toks",
                        pack(F.col("_toks"), max_tokens, overlap).alias("_cuts"))
 
 
@@ -131,20 +131,28 @@ def make_chunks(
     count_fn = counter or default_counter
     per_sentence = sentence_counter or (lambda arr: F.transform(arr, count_fn))
     packed = _packed(docs, max_tokens, overlap, id_col, text_col, split_fn, per_sentence)
+
+    def chunk_of(c: Column) -> Column:
+        n = c["e"] - c["s"] + 1
+        text = F.array_join(F.slice("_sents", c["s"] + 1, n), " ")
+        if counter is None and sentence_counter is None:
+            # the default counter is additive over the sentences of a chunk
+            # (tokens never span white space), so the recount is their sum
+            tokens = F.aggregate(F.slice("_toks", c["s"] + 1, n), F.lit(0), lambda a, x: a + x)
+        else:
+            tokens = count_fn(text)
+        return F.struct(text.alias("content"), tokens.cast("int").alias("token_count"))
+
+    # Chunk text is built inside the row, so the explode below carries only
+    # the chunks, not the document's sentence array into every output row.
     # posexplode_outer, not posexplode: the inner form makes the optimizer infer
-    # a size(_cuts) > 0 filter that re-evaluates the packing per reference.
-    exploded = packed.select(
-        "document_id", "_sents",
-        F.posexplode_outer("_cuts").alias("chunk_index", "_cut"))
-    chunks = (exploded
-              .where(F.col("_cut").isNotNull())
-              .select(
-                  "document_id",
-                  F.col("chunk_index").cast("int").alias("chunk_index"),
-                  F.array_join(
-                      F.slice("_sents", F.col("_cut.s") + 1, F.col("_cut.e") - F.col("_cut.s") + 1),
-                      " ").alias("content")))
-    return chunks.withColumn("token_count", count_fn(F.col("content")).cast("int"))
+    # a size(...) > 0 filter that re-evaluates the packing per reference.
+    texts = packed.select("document_id", F.transform("_cuts", chunk_of).alias("_chunks"))
+    return (texts
+            .select("document_id", F.posexplode_outer("_chunks").alias("chunk_index", "_c"))
+            .where(F.col("_c").isNotNull())
+            .select("document_id", F.col("chunk_index").cast("int").alias("chunk_index"),
+                    F.col("_c.content").alias("content"), F.col("_c.token_count").alias("token_count")))
 
 
 def chunk_ranges(docs: DataFrame, max_tokens: int = MAX_TOKENS,

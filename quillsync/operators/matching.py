@@ -40,19 +40,22 @@ def first_match(store: DataFrame) -> DataFrame:
 def match_documents(src: DataFrame, store: DataFrame) -> DataFrame:
     """Source documents (title, content) left-joined to the store's first match.
 
-    Output: ``id, title, content`` (the source content), ``stored_content``,
-    ``created_at``, ``updated_at`` of the store row, and ``status``: ``new``
-    (no store row), ``changed`` (content differs, null-safe) or ``same``.
+    Output: ``id, title, content`` (the source content), ``created_at``,
+    ``updated_at`` of the store row, and ``status``: ``new`` (no store row),
+    ``changed`` (content differs, null-safe) or ``same``.
+
+    The store side enters the join with the md5 of its content, not the
+    text: only the source text is shuffled.
     """
     s = src.select("title", "content")
-    st = first_match(store).select(
-        "title", "id", F.col("content").alias("stored_content"), "created_at", "updated_at")
+    st = first_match(store.select("title", "id", "created_at", "updated_at",
+                                  F.md5(F.col("content")).alias("stored_md5")))
     joined = s.join(st, "title", "left")
     status = (F.when(F.col("id").isNull(), F.lit(NEW))
-              .when(F.col("content").eqNullSafe(F.col("stored_content")), F.lit(SAME))
+              .when(F.md5(F.col("content")).eqNullSafe(F.col("stored_md5")), F.lit(SAME))
               .otherwise(F.lit(CHANGED)))
-    return joined.select("id", "title", "content", "stored_content",
-                         "created_at", "updated_at", status.alias("status"))
+    return joined.select("id", "title", "content", "created_at", "updated_at",
+                         status.alias("status"))
 
 
 def new_documents(src: DataFrame, store: DataFrame) -> DataFrame:

@@ -23,6 +23,24 @@ def _reject(reason: Column, document_id: Column, chunk_id: Column) -> Column:
                     F.lit("]: "), reason)
 
 
+def _index() -> Column:
+    return F.col("chunk_index").try_cast("int")
+
+
+def _tokens(cols) -> Column:
+    return F.col("token_count").try_cast("int") if "token_count" in cols else F.lit(0)
+
+
+def reject_reason(cols) -> Column:
+    """Why an embedded chunk cannot become a vector (null when it can)."""
+    cid = F.col("id").cast("string")
+    emb = F.col("embedding")
+    return (F.when(cid.isNull() | (cid == ""), F.lit("Missing chunk ID from database"))
+            .when(emb.isNull() | (F.size(emb) == 0), F.lit("Missing embedding"))
+            .when(_index().isNull(), F.lit("invalid chunk_index"))
+            .when(_tokens(cols).isNull(), F.lit("invalid token_count")))
+
+
 def to_vectors(embedded: DataFrame, namespace: str = DEFAULT_NAMESPACE,
                run_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Embedded chunks -> (valid vectors, rejects).
@@ -31,17 +49,11 @@ def to_vectors(embedded: DataFrame, namespace: str = DEFAULT_NAMESPACE,
     missing or empty, or its index / token count cannot be read as an int.
     A *missing* ``token_count`` column means 0; a null one is rejected.
     """
-    cols = embedded.columns
-    idx = F.col("chunk_index").try_cast("int")
-    tok = F.col("token_count").try_cast("int") if "token_count" in cols else F.lit(0)
+    idx, tok = _index(), _tokens(embedded.columns)
     emb = F.col("embedding")
     cid = F.col("id").cast("string")
     doc = F.col("document_id").cast("string")
-    reason = (F.when(cid.isNull() | (cid == ""), F.lit("Missing chunk ID from database"))
-              .when(emb.isNull() | (F.size(emb) == 0), F.lit("Missing embedding"))
-              .when(idx.isNull(), F.lit("invalid chunk_index"))
-              .when(tok.isNull(), F.lit("invalid token_count")))
-    checked = embedded.withColumn("_reason", reason)
+    checked = embedded.withColumn("_reason", reject_reason(embedded.columns))
     valid = checked.where(F.col("_reason").isNull()).select(
         F.lit(namespace).alias("namespace"),
         cid.alias("id"),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quillsync.functions.text import is_blank, title_of
 from quillsync.operators.audit import delete_report, sync_report
 from quillsync.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS, make_chunks
-from quillsync.operators.embed import compute_once, embed, hashing_embedder, split_embedded
+from quillsync.operators.embed import compute_once, hashing_embedder, split_embedded
 from quillsync.operators.matching import CHANGED, NEW, mapped
 from quillsync.operators.store import (APPEND, REPLACE, _keys, delete_chunks, delete_documents,
                                        ids_by_titles, with_chunk_ids, write_snapshot)
@@ -107,14 +107,11 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
         stored = next_chunks.join(touched, "document_id", "left_semi") \
             if cfg.mode == REPLACE else stored
 
+    emb_all = compute_once(stored, "embedding", (cfg.embedder or hashing_embedder())(F.col("content")))
     if out:
-        # one embedding pass, written once: vectors and rejects both read it
-        with_emb = write_snapshot(
-            compute_once(stored, "embedding", (cfg.embedder or hashing_embedder())(F.col("content"))),
-            out, "embedded", ver)
-        embedded, emb_rejects = split_embedded(with_emb, ts)
-    else:
-        embedded, emb_rejects = embed(stored, cfg.embedder, run_ts=ts)
+        # one embedding pass, written once: vectors, rejects and report read it
+        emb_all = write_snapshot(emb_all, out, "embedded", ver)
+    embedded, emb_rejects = split_embedded(emb_all, ts)
     valid, vec_rejects = to_vectors(embedded, cfg.namespace, ts)
     base_vectors = vectors
     if cfg.mode == REPLACE:
@@ -124,7 +121,7 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
         next_vectors = write_snapshot(next_vectors, out, "vectors", ver)
 
     rejects = emb_rejects.unionByName(vec_rejects)
-    report = sync_report(listed, landed, m, stored, valid, rejects)
+    report = sync_report(listed, landed, m, emb_all)
     return SyncResult(next_docs, next_chunks, next_vectors, rejects, report, m)
 
 
