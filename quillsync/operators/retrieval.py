@@ -1,11 +1,15 @@
 """Retrieval: exact top-k similarity, context assembly, term search.
 
-Top-k is a blocked, exact nearest-neighbour search.  Vectors are hashed into
-``bv`` blocks and queries into ``bq`` blocks; each (vector block, query block)
-pair is one cogroup, scored with a numpy matrix product, and only the block's
-top ``k`` per query leaves it.  A final ``row_number`` keeps the global top
-``k``.  No query x vector pair is ever materialised as a row, no task holds
-more than one block of each side, and nothing passes through the driver.
+Top-k is an exact nearest-neighbour search in two shapes:
+
+* a query set of checked, bounded size is broadcast; each vector partition
+  is scored in place with a numpy matrix product (``mapInPandas``) and keeps
+  only its own top ``k`` per query, so vectors are never shuffled;
+* a larger query set is joined block-wise: vectors hashed into ``bv`` blocks,
+  queries into ``bq`` blocks, one cogroup per block pair.
+
+Either way a final ``row_number`` keeps the global top ``k`` from at most
+``k`` candidates per query and task; no query x vector pair is ever a row.
 """
 
 from __future__ import annotations
@@ -18,6 +22,9 @@ from pyspark.sql import functions as F
 SCORE_DECIMALS = 6
 VECTORS_PER_BLOCK = 50_000
 QUERIES_PER_BLOCK = 1_024
+# Query sets up to this many rows are broadcast (checked with a count of the
+# query side); larger ones take the blocked cogroup path.
+BROADCAST_QUERIES_MAX = 4_096
 TERMS_BROADCAST_MAX = 200_000
 
 TOPK_SCHEMA = "query_id string, id string, score double"
@@ -50,31 +57,86 @@ def _block_topk(k: int):
     return run
 
 
+def _partition_topk(k: int, qids: list, bq):
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        Q = bq.value
+        best_s = np.empty((len(qids), 0))
+        best_i = np.empty((len(qids), 0), dtype=object)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            V = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["values"]])
+            S = np.concatenate([best_s, np.round(Q @ V.T, SCORE_DECIMALS)], axis=1)
+            ids = np.concatenate([best_i, np.tile(pdf["id"].to_numpy(dtype=object), (len(qids), 1))],
+                                 axis=1)
+            kk = min(k, S.shape[1])
+            kth = -np.partition(-S, kk - 1, axis=1)[:, kk - 1]
+            keep_s, keep_i = [], []
+            for qi in range(len(qids)):
+                cand = np.nonzero(S[qi] >= kth[qi])[0]
+                order = sorted(cand, key=lambda j: (-S[qi, j], ids[qi, j]))[:kk]
+                keep_s.append(S[qi, order])
+                keep_i.append(ids[qi, order])
+            width = max(len(x) for x in keep_s)
+            best_s = np.full((len(qids), width), -np.inf)
+            best_i = np.empty((len(qids), width), dtype=object)
+            for qi in range(len(qids)):
+                best_s[qi, :len(keep_s[qi])] = keep_s[qi]
+                best_i[qi, :len(keep_i[qi])] = keep_i[qi]
+        rows = [(qids[qi], best_i[qi, j], float(best_s[qi, j]))
+                for qi in range(len(qids)) for j in range(best_s.shape[1])
+                if best_i[qi, j] is not None]
+        yield pd.DataFrame(rows, columns=["query_id", "id", "score"])
+
+    return run
+
+
 def topk(vectors: DataFrame, queries: DataFrame, k: int = 5,
          namespace: str | None = None,
          vectors_per_block: int = VECTORS_PER_BLOCK,
-         queries_per_block: int = QUERIES_PER_BLOCK) -> DataFrame:
+         queries_per_block: int = QUERIES_PER_BLOCK,
+         broadcast_max: int = BROADCAST_QUERIES_MAX) -> DataFrame:
     """Exact k nearest vectors per query by dot product (cosine on unit vectors).
 
     ``vectors``: ``id, values`` (and ``namespace`` when filtering);
     ``queries``: ``query_id, values``.  Output: ``query_id, id, score, rank``;
     scores are rounded to 6 decimals, ties broken by id.
+
+    A query set of at most ``broadcast_max`` rows (counted first) is
+    broadcast and every vector partition is scored where it lies, keeping
+    its own top ``k`` per query; vectors are never shuffled.  A larger query
+    set is joined block-wise: vectors hashed into ``bv`` blocks, queries into
+    ``bq`` blocks, one cogroup per block pair.
     """
     v = vectors
     if namespace is not None:
         v = v.where(F.col("namespace") == F.lit(namespace))
     v = v.select(F.col("id").cast("string").alias("id"), F.col("values"))
     q = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("values"))
-    n_v, n_q = v.count(), q.count()
-    bv = max(1, math.ceil(n_v / vectors_per_block))
-    bq = max(1, math.ceil(n_q / queries_per_block))
-    vb = (v.withColumn("_vb", F.pmod(F.xxhash64("id"), F.lit(bv)))
-          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)).cast("array<long>"))))
-    qb = (q.withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(bq)))
-          .withColumn("_vb", F.explode(F.sequence(F.lit(0), F.lit(bv - 1)).cast("array<long>"))))
-    scored = (vb.groupBy("_vb", "_qb")
-              .cogroup(qb.groupBy("_vb", "_qb"))
-              .applyInPandas(lambda a, b: _block_topk(k)(a, b), TOPK_SCHEMA))
+    n_q = q.count()
+    if n_q <= broadcast_max:
+        import numpy as np
+        rows = q.collect()
+        qids = [r.query_id for r in rows]
+        Qm = (np.vstack([np.asarray(r["values"], dtype=np.float64) for r in rows])
+              if rows else np.zeros((0, 0)))
+        bq = v.sparkSession.sparkContext.broadcast(Qm)
+        scored = v.mapInPandas(_partition_topk(k, qids, bq), TOPK_SCHEMA) if qids else \
+            v.sparkSession.createDataFrame([], TOPK_SCHEMA)
+    else:
+        n_v = v.count()
+        bv = max(1, math.ceil(n_v / vectors_per_block))
+        bqn = max(1, math.ceil(n_q / queries_per_block))
+        vb = (v.withColumn("_vb", F.pmod(F.xxhash64("id"), F.lit(bv)))
+              .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(bqn - 1)).cast("array<long>"))))
+        qb = (q.withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(bqn)))
+              .withColumn("_vb", F.explode(F.sequence(F.lit(0), F.lit(bv - 1)).cast("array<long>"))))
+        scored = (vb.groupBy("_vb", "_qb")
+                  .cogroup(qb.groupBy("_vb", "_qb"))
+                  .applyInPandas(lambda a, b: _block_topk(k)(a, b), TOPK_SCHEMA))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
     return (scored.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k))

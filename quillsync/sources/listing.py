@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsync.functions.text import DOCX_SUFFIX, docx_name, title_of
+from quillsync.functions.text import DOCX_SUFFIX, title_of
 from quillsync.operators.matching import first_per_key
 from quillsync.operators.store import _keys
 from quillsync.schemas import DOCUMENT_MIME_TYPES
@@ -55,10 +55,14 @@ def select_files(files: DataFrame, titles=None, all: bool = True,
 def land_names(files: DataFrame) -> DataFrame:
     """Landed file name (title + .docx) per file; when two files land on the same
     name the later one (highest ``position``) wins, as a later download
-    overwrites an earlier one."""
-    named = files.withColumn("landed_name", docx_name(F.col("name")))
-    return first_per_key(named, "landed_name", F.struct((-F.col("position")).alias("p"),
-                                                        F.col("file_id")))
+    overwrites an earlier one.
+
+    The dedupe is keyed by ``title`` (one title <-> one landed name), so its
+    output stays hash-partitioned by the key the document match joins on."""
+    titled = files.withColumn("title", title_of(F.col("name")))
+    won = first_per_key(titled, "title", F.struct((-F.col("position")).alias("p"),
+                                                  F.col("file_id")))
+    return won.withColumn("landed_name", F.concat(F.col("title"), F.lit(DOCX_SUFFIX)))
 
 
 def fetch(manifest: DataFrame, titles=None, all: bool = False,
@@ -78,5 +82,5 @@ def filter_requested(files: DataFrame, names=None, name_col: str = "landed_name"
 def landed_documents(files: DataFrame, name_col: str = "landed_name",
                      text_col: str = "content") -> DataFrame:
     """Landed files -> source documents ``title, content`` for matching."""
-    return files.select(title_of(F.col(name_col)).alias("title"),
-                        F.col(text_col).alias("content"))
+    title = F.col("title") if "title" in files.columns else title_of(F.col(name_col))
+    return files.select(title.alias("title"), F.col(text_col).alias("content"))
