@@ -85,9 +85,12 @@ def mapped(src: DataFrame, store: DataFrame, run_ts: Column | None = None,
     m = match_documents(src, store)
     if skip_unchanged:
         m = m.where(F.col("status") != SAME)
-    new_rows = (m.where(F.col("status") == NEW)
-                .select(document_id(F.col("title")).alias("id"), "title", "content",
-                        ts.alias("created_at"), ts.alias("updated_at"), "status"))
-    old_rows = (m.where(F.col("status") != NEW)
-                .select("id", "title", "content", "created_at", "updated_at", "status"))
-    return new_rows.unionByName(old_rows)
+    # one projection over the join (no union of a new and a matched branch,
+    # which would evaluate the join twice)
+    is_new = F.col("status") == NEW
+    return m.select(
+        F.when(is_new, document_id(F.col("title"))).otherwise(F.col("id")).alias("id"),
+        "title", "content",
+        F.when(is_new, ts).otherwise(F.col("created_at")).alias("created_at"),
+        F.when(is_new, ts).otherwise(F.col("updated_at")).alias("updated_at"),
+        "status")

@@ -19,7 +19,7 @@ from quillsync.functions.text import is_blank, title_of
 from quillsync.operators.audit import delete_report, sync_report
 from quillsync.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS, make_chunks
 from quillsync.operators.embed import compute_once, hashing_embedder, split_embedded
-from quillsync.operators.matching import CHANGED, NEW, mapped
+from quillsync.operators.matching import NEW, SAME, mapped
 from quillsync.operators.store import (APPEND, REPLACE, _keys, delete_chunks, delete_documents,
                                        ids_by_titles, with_chunk_ids, write_snapshot)
 from quillsync.operators.vectors import delete_vectors, to_vectors, upsert
@@ -65,16 +65,24 @@ def process(src: DataFrame, store: DataFrame, cfg: SyncConfig | None = None,
 def next_documents(store: DataFrame, m: DataFrame, mode: str,
                    run_ts: Column | None = None) -> DataFrame:
     """Document store after a run: new rows inserted; in ``replace`` mode the
-    changed rows also get the new content and ``updated_at``."""
+    changed rows also get the new content and ``updated_at``.
+
+    One full outer join of the store with the run's new/changed rows (by id),
+    so the mapped set is evaluated once."""
     ts = run_ts if run_ts is not None else F.current_timestamp()
     base = conform(store, DOCUMENTS)
-    new_rows = conform(m.where(F.col("status") == NEW), DOCUMENTS)
-    if mode == APPEND:
-        return base.unionByName(new_rows)
-    changed = m.where(F.col("status") == CHANGED)
-    upd = conform(changed.withColumn("updated_at", ts), DOCUMENTS)
-    kept = base.join(changed.select("id"), "id", "left_anti")
-    return kept.unionByName(upd).unionByName(new_rows)
+    touched = m.where(F.col("status") == NEW) if mode == APPEND else \
+        m.where(F.col("status") != SAME)
+    t = touched.select("id", F.col("title").alias("_title"), F.col("content").alias("_content"),
+                       F.col("status").alias("_status"))
+    j = base.join(t, "id", "full_outer")
+    hit = F.col("_status").isNotNull()
+    return j.select(
+        "id",
+        F.coalesce("title", "_title").alias("title"),
+        F.when(hit, F.col("_content")).otherwise(F.col("content")).alias("content"),
+        F.when(F.col("_status") == NEW, ts).otherwise(F.col("created_at")).alias("created_at"),
+        F.when(hit, ts).otherwise(F.col("updated_at")).alias("updated_at"))
 
 
 def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataFrame,
