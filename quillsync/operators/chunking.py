@@ -132,15 +132,17 @@ def make_chunks(
     per_sentence = sentence_counter or (lambda arr: F.transform(arr, count_fn))
     packed = _packed(docs, max_tokens, overlap, id_col, text_col, split_fn, per_sentence)
 
+    additive = counter is None and sentence_counter is None
+
     def chunk_of(c: Column) -> Column:
         n = c["e"] - c["s"] + 1
         text = F.array_join(F.slice("_sents", c["s"] + 1, n), " ")
-        if counter is None and sentence_counter is None:
+        if additive:
             # the default counter is additive over the sentences of a chunk
             # (tokens never span white space), so the recount is their sum
             tokens = F.aggregate(F.slice("_toks", c["s"] + 1, n), F.lit(0), lambda a, x: a + x)
         else:
-            tokens = count_fn(text)
+            tokens = F.lit(None).cast("int")
         return F.struct(text.alias("content"), tokens.cast("int").alias("token_count"))
 
     # Chunk text is built inside the row, so the explode below carries only
@@ -148,11 +150,16 @@ def make_chunks(
     # posexplode_outer, not posexplode: the inner form makes the optimizer infer
     # a size(...) > 0 filter that re-evaluates the packing per reference.
     texts = packed.select("document_id", F.transform("_cuts", chunk_of).alias("_chunks"))
-    return (texts
-            .select("document_id", F.posexplode_outer("_chunks").alias("chunk_index", "_c"))
-            .where(F.col("_c").isNotNull())
-            .select("document_id", F.col("chunk_index").cast("int").alias("chunk_index"),
-                    F.col("_c.content").alias("content"), F.col("_c.token_count").alias("token_count")))
+    out = (texts
+           .select("document_id", F.posexplode_outer("_chunks").alias("chunk_index", "_c"))
+           .where(F.col("_c").isNotNull())
+           .select("document_id", F.col("chunk_index").cast("int").alias("chunk_index"),
+                   F.col("_c.content").alias("content"), F.col("_c.token_count").alias("token_count")))
+    if not additive:
+        # a custom counter (possibly a pandas UDF) recounts the joined text,
+        # outside any lambda
+        out = out.withColumn("token_count", count_fn(F.col("content")).cast("int"))
+    return out
 
 
 def chunk_ranges(docs: DataFrame, max_tokens: int = MAX_TOKENS,

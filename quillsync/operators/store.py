@@ -134,8 +134,15 @@ def delete_documents(docs: DataFrame, chunks: DataFrame, ids) -> tuple[DataFrame
 
 # --- snapshots -------------------------------------------------------------
 
+def read_snapshot(spark: SparkSession, base: str, table: str, version: int | str) -> DataFrame:
+    return spark.read.parquet(os.path.join(base, table, f"v={version}"))
+
+
 def write_snapshot(df: DataFrame, base: str, table: str, version: int | str) -> DataFrame:
-    """Write the next state of ``table`` to ``base/table/v=<version>`` and read it back."""
+    """Write the next state of ``table`` to ``base/table/v=<version>`` and read it back.
+
+    A version is derived only from earlier versions, so re-running the same
+    version (a retried streaming batch) overwrites it with the same rows."""
     path = os.path.join(base, table, f"v={version}")
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

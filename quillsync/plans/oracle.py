@@ -407,3 +407,8 @@ reg("docx_extract", with_(MANIFEST) + f"""SELECT name,
   FROM manifest WHERE mime_type <> {lit(fx.HTML_MIME)}""")
 reg("error_sink", with_(MANIFEST) + f"""SELECT file_id || '.docx' AS filename,
   'BadZipFile: File is not a zip file' AS error FROM manifest WHERE mime_type = {lit(fx.HTML_MIME)}""")
+
+# --- streaming -------------------------------------------------------------------
+# every source document is mapped by some batch, and replace mode leaves exactly
+# the chunks of the mapped documents
+SQL["sync_stream"] = SQL["insert_chunks"]

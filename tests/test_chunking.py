@@ -122,3 +122,21 @@ def test_no_inferred_filter_on_cuts(spark):
     docs = spark.createDataFrame([("d", "A. B.")], "id string, content string")
     plan = make_chunks(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "size(_cuts" not in plan
+
+
+def test_custom_counter_recounts_outside_lambdas(spark):
+    import pandas as pd
+
+    @F.pandas_udf("int")
+    def chars(s: pd.Series) -> pd.Series:
+        return s.str.len().astype("int32")
+
+    @F.pandas_udf("array<int>")
+    def chars_each(a: pd.Series) -> pd.Series:
+        return pd.Series([[len(x) for x in v] for v in a])
+
+    docs = spark.createDataFrame([("d", "Aaaa. Bbbbbb. Cc.")], "id string, content string")
+    rows = sorted(make_chunks(docs, 12, 3, counter=chars, sentence_counter=chars_each).collect(),
+                  key=lambda r: r.chunk_index)
+    assert [(r.content, r.token_count) for r in rows] == [
+        ("Aaaa. Bbbbbb.", 13), ("Bbbbbb. Cc.", 11)]
