@@ -22,6 +22,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         # chunking and embedding cost CPU per row, not bytes: on few cores keep
         # AQE from coalescing a post-join stage into fewer tasks than cores
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+        # after a join turns broadcast at runtime, keep reducer-side (hash by
+        # key) partitions rather than the mappers' layout: the chunking and
+        # embedding that follow joins cost CPU per row and need balance
+        .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
