@@ -87,6 +87,11 @@ def test_properties_on_documents(spark):
             assert cuts[0][0] == 0 and cuts[-1][1] == len(t) - 1          # every sentence covered
             assert all(a[1] < b[1] for a, b in zip(cuts, cuts[1:]))       # ends strictly increase
             assert all(a[0] <= b[0] for a, b in zip(cuts, cuts[1:]))      # starts never decrease
+            for a, b in zip(cuts, cuts[1:]):
+                # the carried tail [b.s, a.e] is worth >= overlap tokens,
+                # unless the whole previous chunk is carried
+                assert b[0] == a[0] or sum(t[b[0]:a[1] + 1]) >= ov
+                assert b[0] <= a[1] + 1                                   # no gap between chunks
 
 
 def test_make_chunks_text_and_counts(spark):
