@@ -29,7 +29,7 @@ def keys_frame(spark: SparkSession, values, name: str) -> DataFrame:
     return F.broadcast(df) if len(values or []) <= BROADCAST_LIST_MAX else df
 
 
-def _keys(spark: SparkSession, keys, name: str) -> DataFrame:
+def keys_of(spark: SparkSession, keys, name: str) -> DataFrame:
     if isinstance(keys, DataFrame):
         return keys.select(F.col(keys.columns[0]).alias(name)) if name not in keys.columns \
             else keys.select(name)
@@ -46,7 +46,7 @@ def document_by_title(store: DataFrame, title: str) -> DataFrame:
 def documents_by_titles(store: DataFrame, titles) -> DataFrame:
     """Bulk form of :func:`document_by_title`: every requested title, with its
     first store row's columns (null when the title is unknown)."""
-    t = _keys(store.sparkSession, titles, "title").distinct()
+    t = keys_of(store.sparkSession, titles, "title").distinct()
     return t.join(first_match(store), "title", "left")
 
 
@@ -57,14 +57,14 @@ def chunks_of(chunks: DataFrame, doc_id: str) -> DataFrame:
 
 def chunks_for(chunks: DataFrame, doc_ids) -> DataFrame:
     """Chunks of many documents, sorted by ``(document_id, chunk_index)``."""
-    ids = _keys(chunks.sparkSession, doc_ids, "document_id").distinct()
+    ids = keys_of(chunks.sparkSession, doc_ids, "document_id").distinct()
     return (chunks.join(ids, "document_id", "left_semi")
             .orderBy("document_id", "chunk_index"))
 
 
 def ids_by_titles(store: DataFrame, titles) -> DataFrame:
     """Ids of every store row whose title is listed (all rows, not the first)."""
-    t = _keys(store.sparkSession, titles, "title")
+    t = keys_of(store.sparkSession, titles, "title")
     return store.join(t, "title", "left_semi").select("id")
 
 
@@ -122,13 +122,13 @@ def insert_chunks(store: DataFrame, chunks: DataFrame, mode: str = REPLACE,
 
 def delete_chunks(chunks: DataFrame, ids) -> DataFrame:
     """Chunks whose document is not listed (``ids``: DataFrame or list)."""
-    k = _keys(chunks.sparkSession, ids, "document_id")
+    k = keys_of(chunks.sparkSession, ids, "document_id")
     return chunks.join(k, "document_id", "left_anti")
 
 
 def delete_documents(docs: DataFrame, chunks: DataFrame, ids) -> tuple[DataFrame, DataFrame]:
     """Delete documents by id; their chunks go with them (the cascade)."""
-    k = _keys(docs.sparkSession, ids, "id")
+    k = keys_of(docs.sparkSession, ids, "id")
     return docs.join(k, "id", "left_anti"), delete_chunks(chunks, k.select(F.col("id").alias("document_id")))
 
 

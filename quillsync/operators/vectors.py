@@ -120,7 +120,7 @@ def clear_namespace(vectors: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> D
 
 def delete_vectors(vectors: DataFrame, doc_ids) -> DataFrame:
     """Next state without the vectors whose ``metadata.document_id`` is listed."""
-    from quillsync.operators.store import _keys
-    k = _keys(vectors.sparkSession, doc_ids, "_doc")
+    from quillsync.operators.store import keys_of
+    k = keys_of(vectors.sparkSession, doc_ids, "_doc")
     return (vectors.withColumn("_doc", F.col("metadata.document_id"))
             .join(k, "_doc", "left_anti").drop("_doc"))

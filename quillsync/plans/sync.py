@@ -20,7 +20,7 @@ from quillsync.operators.audit import delete_report, sync_report
 from quillsync.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS, make_chunks
 from quillsync.operators.embed import compute_once, hashing_embedder, split_embedded
 from quillsync.operators.matching import NEW, SAME, mapped
-from quillsync.operators.store import (APPEND, REPLACE, _keys, delete_chunks, delete_documents,
+from quillsync.operators.store import (APPEND, REPLACE, keys_of, delete_chunks, delete_documents,
                                        ids_by_titles, with_chunk_ids, write_snapshot)
 from quillsync.operators.vectors import delete_vectors, to_vectors, upsert
 from quillsync.schemas import CHUNKS, DEFAULT_NAMESPACE, DOCUMENTS, conform
@@ -135,7 +135,7 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
 
 def cleanup_ids(store: DataFrame, names) -> DataFrame:
     """File names -> titles -> ids of every store row with such a title."""
-    n = _keys(store.sparkSession, names, "name")
+    n = keys_of(store.sparkSession, names, "name")
     return ids_by_titles(store, n.select(title_of(F.col("name")).alias("title")))
 
 

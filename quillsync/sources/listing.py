@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quillsync.functions.text import DOCX_SUFFIX, title_of
 from quillsync.operators.matching import first_per_key
-from quillsync.operators.store import _keys
+from quillsync.operators.store import keys_of
 from quillsync.schemas import DOCUMENT_MIME_TYPES
 
 RAW, TITLE = "raw", "title"
@@ -47,7 +47,7 @@ def select_files(files: DataFrame, titles=None, all: bool = True,
     spark = files.sparkSession
     if titles is None or (not isinstance(titles, DataFrame) and len(titles) == 0):
         return files.limit(0)
-    t = _keys(spark, titles, "_t")
+    t = keys_of(spark, titles, "_t")
     key = F.col("name") if match == RAW else title_of(F.col("name"))
     return (files.withColumn("_t", key).join(t, "_t", "left_semi").drop("_t"))
 
@@ -75,7 +75,7 @@ def filter_requested(files: DataFrame, names=None, name_col: str = "landed_name"
     """Keep files whose name is in ``names``; an empty or missing list keeps all."""
     if names is None or (not isinstance(names, DataFrame) and len(names) == 0):
         return files
-    n = _keys(files.sparkSession, names, "_n")
+    n = keys_of(files.sparkSession, names, "_n")
     return files.join(n, files[name_col] == n["_n"], "left_semi")
 
 
