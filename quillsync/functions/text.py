@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Fixed values (they define the text semantics; keep them in this order).
 #
-# SPACE_CLASS: the characters Python's str.strip()/str.isspace() treat as
-#   white space: TAB LF VT FF CR, U+001C..U+001F, SPACE, U+0085, U+00A0,
+# SPACE_CODE_POINTS: the characters Python's str.strip()/str.isspace() treat
+#   as white space: TAB LF VT FF CR, U+001C..U+001F, SPACE, U+0085, U+00A0,
 #   U+1680, U+2000..U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
 # TITLE_PATTERN: the last extension of a file name, where leading dots are
 #   not an extension (the rule of os.path.splitext): keep group 1.
@@ -28,13 +28,17 @@ from pyspark.sql import functions as F
 #   non-space character.
 # SENTENCE_MARK: U+0001, the cut mark placed between sentences.
 # ---------------------------------------------------------------------------
-SPACE_CHARS = (
-    "\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
-    "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+SPACE_CODE_POINTS = (
+    [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680]
+    + list(range(0x2000, 0x200B))
+    + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 )
+# the same set as a string (for trimming) and as a regex class body, the
+# code points written \x{..} so Java regex and RE2 read them alike
+SPACE_STRING = "".join(chr(c) for c in SPACE_CODE_POINTS)
+SPACE_CHARS = "".join("\\x{%X}" % c for c in SPACE_CODE_POINTS)
 SPACE_CLASS = "[" + SPACE_CHARS + "]"
 NON_SPACE_CLASS = "[^" + SPACE_CHARS + "]"
-EDGE_SPACE = "^" + SPACE_CLASS + "+|" + SPACE_CLASS + "+$"
 TITLE_PATTERN = "(?s)^(\\.*[^.].*)\\.[^.]*$"
 SENTENCE_END = "([.!?])" + SPACE_CLASS + "+"
 TOKEN_PATTERN = "[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}" + SPACE_CHARS + "]"
@@ -66,8 +70,11 @@ def is_blank(text: Column | str) -> Column:
 
 
 def strip_space(text: Column | str) -> Column:
-    """Python-style ``str.strip()``: white space removed at both ends."""
-    return F.regexp_replace(_c(text), EDGE_SPACE, "")
+    """Python-style ``str.strip()``: white space removed at both ends.
+
+    ``btrim`` only looks at the ends of the string; an anchored regex would
+    be tried (and backtrack) at every white-space run of the text."""
+    return F.btrim(_c(text), F.lit(SPACE_STRING))
 
 
 def sentences(text: Column | str) -> Column:

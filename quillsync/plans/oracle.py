@@ -9,7 +9,7 @@ values (patterns, constants) are shared.
 from __future__ import annotations
 
 from quillsync.functions.text import (
-    EDGE_SPACE, NON_SPACE_CLASS, SENTENCE_END, TITLE_PATTERN, TOKEN_PATTERN)
+    NON_SPACE_CLASS, SENTENCE_END, SPACE_CODE_POINTS, TITLE_PATTERN, TOKEN_PATTERN)
 from quillsync.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS
 from quillsync.operators.embed import EMBED_DIM
 from quillsync.operators.vectors import FETCH_LIMIT
@@ -44,8 +44,11 @@ def non_blank(x: str) -> str:
     return f"coalesce(regexp_matches({x}, {lit(NON_SPACE_CLASS)}), false)"
 
 
+SPACE_CHARS_SQL = " || ".join(f"chr({c})" for c in SPACE_CODE_POINTS)
+
+
 def sents(x: str) -> str:
-    body = f"regexp_replace(replace({x}, chr(1), ''), {lit(EDGE_SPACE)}, '', 'g')"
+    body = f"trim(replace({x}, chr(1), ''), {SPACE_CHARS_SQL})"
     marked = f"regexp_replace({body}, {lit(SENTENCE_END)}, '\\1' || chr(1), 'g')"
     return f"list_filter(string_split({marked}, chr(1)), lambda s_: s_ <> '')"
 
