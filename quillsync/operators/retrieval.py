@@ -160,7 +160,7 @@ def context(hits: DataFrame, chunks: DataFrame, docs: DataFrame) -> DataFrame:
                     "document_id", "title", "chunk_index", "chunk_content"))
 
 
-def search(docs: DataFrame, terms: DataFrame, id_col: str = "id",
+def search(docs: DataFrame, terms, id_col: str = "id",
            text_col: str = "content") -> DataFrame:
     """Term search: ``(document id, term, hits)`` for every listed term a document holds.
 
@@ -169,6 +169,8 @@ def search(docs: DataFrame, terms: DataFrame, id_col: str = "id",
     otherwise it is a normal join and AQE plans it.
     """
     from quillsync.functions.text import TOKEN_PATTERN
+    if not isinstance(terms, DataFrame):
+        terms = docs.sparkSession.createDataFrame([(x,) for x in terms], "term string")
     t = terms.select(F.col(terms.columns[0]).cast("string").alias("term")).distinct()
     if t.count() <= TERMS_BROADCAST_MAX:
         t = F.broadcast(t)

@@ -73,6 +73,11 @@ def upsert(old: DataFrame, new: DataFrame, keys=("namespace", "id")) -> DataFram
 
     Duplicate keys inside ``new`` resolve to one row deterministically (the
     smallest ``(document_id, chunk_index)``), via a partial aggregation.
+
+    An anti join rather than one full outer join: when the batch is small,
+    AQE broadcasts its keys and the (large) old store is never shuffled.  The
+    batch is read twice (keys and rows), so pass a materialised batch (as
+    ``sync(out=...)`` does) when it is expensive to recompute.
     """
     keys = list(keys)
     order = F.struct(F.col("metadata.document_id"), F.col("metadata.chunk_index"))

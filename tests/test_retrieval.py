@@ -54,3 +54,9 @@ def test_context_and_search(spark):
     terms = spark.createDataFrame([("apple",), ("pear",), ("plum",)], "t string")
     got = sorted((r.id, r.term, r.hits) for r in retrieval.search(d, terms).collect())
     assert got == [("x", "apple", 2), ("y", "pear", 1)]
+
+
+def test_search_accepts_a_term_list(spark):
+    d = spark.createDataFrame([("x", "Apple, apple!")], "id string, content string")
+    got = sorted((r.term, r.hits) for r in retrieval.search(d, ["Apple", "apple", "!"]).collect())
+    assert got == [("!", 1), ("Apple", 1), ("apple", 1)]
