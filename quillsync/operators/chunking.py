@@ -84,11 +84,17 @@ def pack(tokens: Column | str, max_tokens: int = MAX_TOKENS,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition when the input has fewer partitions than the
-    cluster has cores (e.g. one big row group); large inputs already arrive in
-    many splits and are left alone, so no shuffle is added at scale."""
+    """Round-robin repartition when the input arrives in fewer partitions than
+    both the cores and the shuffle partitions (e.g. one big row group).
+
+    Large scans already arrive in many splits, and a join's output has the
+    shuffle partition count, so neither gets an extra shuffle."""
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
+    try:
+        target = min(target, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):
+        pass
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
