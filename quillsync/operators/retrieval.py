@@ -111,6 +111,8 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 5,
     set is joined block-wise: vectors hashed into ``bv`` blocks, queries into
     ``bq`` blocks, one cogroup per block pair.
     """
+    from quillsync.session import ship_package
+    ship_package(vectors.sparkSession)
     v = vectors
     if namespace is not None:
         v = v.where(F.col("namespace") == F.lit(namespace))

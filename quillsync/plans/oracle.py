@@ -354,7 +354,7 @@ reg("cleanup", with_(*CL_BASE, STORE_DOCS, CHUNK_STORE, CURRENT, VECTOR_STORE) +
 
 # --- audit -----------------------------------------------------------------------
 reg("group_chunks_by_document", with_(*EMB_BASE) + """SELECT document_id, count(*) AS chunks,
-  min(chunk_index) AS first_index, max(chunk_index) AS last_index, sum(token_count) AS tokens,
+  min(chunk_index) AS first_index, max(chunk_index) AS last_index, CAST(sum(token_count) AS BIGINT) AS tokens,
   max(chunk_index) - min(chunk_index) + 1 - count(*) AS index_gaps
   FROM store_emb WHERE vals IS NOT NULL GROUP BY document_id""")
 reg("reconcile_stores", with_(LABELLED, STORE, STORE_DOCS, CHUNK_STORE, CURRENT, VECTOR_STORE) + """
@@ -372,7 +372,7 @@ reg("sync_report", with_(*SYNC_BASE) + """
   UNION ALL SELECT 'documents_same', count(*) FROM mapped WHERE status = 'same'
   UNION ALL SELECT 'chunks', count(*) FROM new_chunks
   UNION ALL SELECT 'chunked_documents', count(DISTINCT document_id) FROM new_chunks
-  UNION ALL SELECT 'chunk_tokens', sum(token_count) FROM new_chunks
+  UNION ALL SELECT 'chunk_tokens', CAST(sum(token_count) AS BIGINT) FROM new_chunks
   UNION ALL SELECT 'vectors_upserted', count(*) FROM new_chunks
   UNION ALL SELECT 'rejects', 0""")
 reg("sync", with_(SRC, LABELLED, STORE, MATCHED, MAPPED)
@@ -402,7 +402,7 @@ reg("search_documents", f"""WITH terms AS (
   toks AS (SELECT doc_id, unnest(regexp_extract_all(text, {lit(TOKEN_PATTERN)})) AS term FROM documents),
   hits AS (SELECT doc_id, term, count(*) AS hits FROM toks WHERE term IN (SELECT term FROM terms)
            GROUP BY doc_id, term)
-  SELECT doc_id, count(*) AS matched_terms, sum(hits) AS hits FROM hits GROUP BY doc_id""")
+  SELECT doc_id, count(*) AS matched_terms, CAST(sum(hits) AS BIGINT) AS hits FROM hits GROUP BY doc_id""")
 
 # --- sources and sinks -----------------------------------------------------------
 reg("docx_extract", with_(MANIFEST) + f"""SELECT name,

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "quillsync") -> SparkSession:
@@ -33,9 +37,39 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quillsync`` importable in the Python workers (once per application).
+
+    Operators that run Python in tasks (mapInPandas, cogroup, pandas UDFs)
+    pickle functions of this package by reference; the workers import it.
+    The package is zipped on the driver and added with ``addPyFile``, the
+    same as ``--py-files`` at submit time.  A cluster whose image already
+    has the package installed needs nothing of this.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    staging = tempfile.mkdtemp(prefix="quillsync-pyfiles-")
+    path = os.path.join(staging, "quillsync.zip")
+    with open(path, "wb") as f:
+        f.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset.
 
