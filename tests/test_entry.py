@@ -44,3 +44,20 @@ def test_query_matches_sql_twin(spark, name):
     cols, rows = _duck(entry_mod.oracle_sql()[name])
     assert sorted(df.columns) == sorted(cols)
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(cols, rows)
+
+
+def test_python_worker_queries_run_from_any_directory(tmp_path):
+    """Workers import the package from the shipped zip, not from the cwd."""
+    import subprocess
+    import sys
+    code = (
+        "import importlib.util\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "spec = importlib.util.spec_from_file_location('e', %r)\n"
+        "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+        "print('ROWS', m.queries()['docx_extract'](s, %r).count())\n"
+    ) % (os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py"), SF)
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+                         timeout=600)
+    assert "ROWS 200" in out.stdout, out.stderr[-2000:]
