@@ -3,7 +3,9 @@
 ``sync`` is one lazy plan per store; when ``out`` is given, every store's
 next state is written as a snapshot in the order documents -> chunks ->
 vectors (so chunks always exist before their vectors), and later stages
-read the written tables instead of recomputing the plan.
+read the written tables instead of recomputing the plan.  Without ``out``,
+the two intermediates every output shares (the mapped documents and the
+embedded chunks) are persisted (memory and disk) until ``unpersist()``.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import uuid
 from dataclasses import dataclass, field
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +50,12 @@ class SyncResult:
     rejects: DataFrame
     report: DataFrame
     mapped: DataFrame
+    persisted: list = field(default_factory=list)
+
+    def unpersist(self) -> None:
+        """Release the run's persisted intermediates (lazy mode)."""
+        for df in self.persisted:
+            df.unpersist()
 
 
 def drop_blank(docs: DataFrame, col: str = "content") -> DataFrame:
@@ -97,6 +106,14 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
     src = landed_documents(landed)
     m, new_chunks = process(src, docs, cfg, ts)
     ver = version if version is not None else cfg.run_id
+    persisted = []
+    if not out:
+        # the mapped set feeds the document store, the chunking, the deletes
+        # and the report: keep it instead of re-running landing + match for
+        # each (recomputed from lineage if an executor is lost)
+        m = m.persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(m)
+        new_chunks = make_chunks(m.select("id", "content"), cfg.max_tokens, cfg.overlap)
 
     next_docs = next_documents(docs, m, cfg.mode, ts)
     if out:
@@ -119,6 +136,9 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
     if out:
         # one embedding pass, written once: vectors, rejects and report read it
         emb_all = write_snapshot(emb_all, out, "embedded", ver)
+    else:
+        emb_all = emb_all.persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(emb_all)
     embedded, emb_rejects = split_embedded(emb_all, ts)
     valid, vec_rejects = to_vectors(embedded, cfg.namespace, ts)
     base_vectors = vectors
@@ -130,7 +150,7 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
 
     rejects = emb_rejects.unionByName(vec_rejects)
     report = sync_report(listed, landed, m, emb_all)
-    return SyncResult(next_docs, next_chunks, next_vectors, rejects, report, m)
+    return SyncResult(next_docs, next_chunks, next_vectors, rejects, report, m, persisted)
 
 
 def cleanup_ids(store: DataFrame, names) -> DataFrame:
