@@ -57,7 +57,7 @@ def test_sentences(spark):
         ["One.", "Two!", "Three?", "Four"],
         ["leading and trailing."],
         ["no end mark"],
-        ["3.14 is pi.", "e.g.", "this"],   # rule based: abbreviations split (Punkt would not)
+        ["3.14 is pi.", "e.g.", "this"],   # rule based: abbreviations split (a trained model would not)
         ["line one\nline two.", "next"],
         [],
         [],
