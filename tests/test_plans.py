@@ -1,0 +1,73 @@
+"""Plan properties the scale design relies on (checked on the physical plans)."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from quillsync.operators import chunking, embed, matching, retrieval, vectors
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _docs(spark, n=64, parts=8):
+    return spark.range(n).repartition(parts).select(
+        F.col("id").cast("string").alias("id"),
+        F.concat(F.lit("One two three. Four five! Six "), F.col("id").cast("string"),
+                 F.lit(".")).alias("content"))
+
+
+def test_packing_adds_no_keyed_shuffle(spark):
+    plan = _plan(chunking.make_chunks(_docs(spark)))
+    assert "hashpartitioning" not in plan
+    assert "Generate posexplode" in plan
+    assert not re.search(r"Filter .*size\(", plan)     # no inferred size(...) > 0 filter
+
+
+def test_first_match_aggregates_before_the_shuffle(spark):
+    store = spark.range(3000).select(
+        F.col("id").cast("string").alias("id"),
+        # one title holds a third of all rows
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("title"),
+        F.lit("x").alias("content"), F.current_timestamp().alias("created_at"),
+        F.current_timestamp().alias("updated_at"))
+    df = matching.first_match(store)
+    plan = _plan(df)
+    exchange = plan.index("Exchange hashpartitioning(title")
+    assert "partial_min_by" in plan[exchange:]          # partial aggregate sits below the exchange
+    got = {r.title: r.id for r in df.where("title = 'hot'").collect()}
+    assert got == {"hot": "0"}
+
+
+def test_embedding_is_evaluated_once(spark):
+    chunks = _docs(spark).withColumn("document_id", F.lit("d"))
+    ok, _ = embed.embed(chunks)
+    plan = _plan(ok)
+    assert re.search(r"Filter isnotnull\(embedding#\d+\)", plan)
+    assert plan.count("regexp_extract_all(content") == 1
+
+
+def test_broadcast_topk_does_not_shuffle_vectors(spark):
+    v = spark.range(200).repartition(4).select(
+        F.col("id").cast("string").alias("id"),
+        F.array(*[F.rand(seed=i).cast("float") for i in range(4)]).alias("values"))
+    q = spark.createDataFrame([("q", [1.0, 0.0, 0.0, 0.0])], "query_id string, values array<double>")
+    plan = _plan(retrieval.topk(v, q, k=3))
+    below = plan[plan.index("MapInPandas"):]
+    assert "hashpartitioning" not in below
+    assert "hashpartitioning(query_id" in plan
+    assert "WindowGroupLimit" in plan
+
+
+def test_per_document_limit_uses_window_group_limit(spark):
+    v = spark.range(500).select(
+        F.lit("__default__").alias("namespace"), F.col("id").cast("string").alias("id"),
+        F.array(F.lit(1.0).cast("float")).alias("values"),
+        F.struct(F.concat(F.lit("d"), (F.col("id") % 2).cast("string")).alias("document_id"),
+                 F.col("id").cast("int").alias("chunk_index"),
+                 F.lit(1).alias("token_count")).alias("metadata"))
+    ids = spark.createDataFrame([("d0",), ("d1",)], "d string")
+    df = vectors.vectors_for(v, ids, limit=7)
+    assert "WindowGroupLimit" in _plan(df)
+    assert df.count() == 14
