@@ -70,3 +70,25 @@ def test_unreadable_file_raises_or_rejects(spark, scratch):
     back = rejects.read_rejects(spark, path).collect()
     assert len(back) == 2 and back[0].filename == "bad.docx"
     assert back[0].error == "BadZipFile: File is not a zip file"
+
+
+def test_paragraph_text_rules(spark):
+    import io
+    import zipfile
+    W = docx.W_NS
+    body = (
+        '<w:p><w:r><w:t>a</w:t><w:tab/><w:t>b</w:t><w:br/><w:t>c</w:t><w:noBreakHyphen/></w:r>'
+        '<w:hyperlink><w:r><w:t>link</w:t></w:r></w:hyperlink>'
+        '<w:ins><w:r><w:t>tracked</w:t></w:r></w:ins>'
+        '<w:r><w:br w:type="page"/><w:t>d</w:t></w:r></w:p>'
+        '<w:tbl><w:tr><w:tc><w:p><w:r><w:t>in table</w:t></w:r></w:p></w:tc></w:tr></w:tbl>'
+        '<w:p><w:r><w:t xml:space="preserve">  </w:t></w:r></w:p>'
+        '<w:p><w:r><w:t>last</w:t></w:r></w:p>')
+    xml = f'<w:document xmlns:w="{W}"><w:body>{body}</w:body></w:document>'
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr(docx.DOCUMENT_PART, xml)
+    assert docx._paragraph_texts(buf.getvalue()) == ["a\tb\nc-linkd", "  ", "last"]
+    files = spark.createDataFrame([("x.docx", bytearray(buf.getvalue()))], "name string, content binary")
+    ok, _ = docx.extract_docx(files)
+    assert ok.first().content == "a\tb\nc-linkd\nlast"
