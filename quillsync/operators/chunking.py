@@ -90,14 +90,13 @@ def spread(df: DataFrame) -> DataFrame:
     Large scans already arrive in many splits, and a join's output has the
     shuffle partition count, so neither gets an extra shuffle."""
     spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
     try:
+        target = spark.sparkContext.defaultParallelism
         target = min(target, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    except (TypeError, ValueError):
-        pass
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if have < target else df
 
 
 def _packed(docs: DataFrame, max_tokens: int, overlap: int, id_col: str, text_col: str,
