@@ -80,6 +80,7 @@ def sync_report(listed: DataFrame, landed: DataFrame, mapped_docs: DataFrame,
             "chunks": F.count(one),
             "chunked_documents": F.countDistinct("document_id"),
             "chunk_tokens": F.sum("token_count"),
+            "embedded_documents": F.countDistinct(F.when(ok, F.col("document_id"))),
             "vectors_upserted": F.count(F.when(ok, 1)),
             "rejects": F.count(F.when(~ok, 1))}),
     ])

@@ -163,22 +163,26 @@ def context(hits: DataFrame, chunks: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def search(docs: DataFrame, terms, id_col: str = "id",
-           text_col: str = "content") -> DataFrame:
+           text_col: str = "content", ignore_case: bool = False) -> DataFrame:
     """Term search: ``(document id, term, hits)`` for every listed term a document holds.
 
-    Documents are tokenised with the token pattern; the term list is
+    Documents are tokenised with the token pattern (lower-cased, with the
+    terms, when ``ignore_case``); the term list is
     broadcast when its row count is within ``TERMS_BROADCAST_MAX`` (checked),
     otherwise it is a normal join and AQE plans it.
     """
     from quillsync.functions.text import TOKEN_PATTERN
     if not isinstance(terms, DataFrame):
         terms = docs.sparkSession.createDataFrame([(x,) for x in terms], "term string")
-    t = terms.select(F.col(terms.columns[0]).cast("string").alias("term")).distinct()
+    t = terms.select(F.col(terms.columns[0]).cast("string").alias("term"))
+    if ignore_case:
+        t = t.select(F.lower("term").alias("term"))
+    t = t.distinct()
     if t.count() <= TERMS_BROADCAST_MAX:
         t = F.broadcast(t)
+    text = F.lower(F.col(text_col)) if ignore_case else F.col(text_col)
     toks = docs.select(F.col(id_col).alias("doc"),
-                       F.explode(F.regexp_extract_all(F.col(text_col), F.lit(TOKEN_PATTERN), 0))
-                       .alias("term"))
+                       F.explode(F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)).alias("term"))
     return (toks.join(t, "term", "left_semi")
             .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("hits"))
             .withColumnRenamed("doc", id_col))

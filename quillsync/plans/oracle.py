@@ -373,6 +373,7 @@ reg("sync_report", with_(*SYNC_BASE) + """
   UNION ALL SELECT 'chunks', count(*) FROM new_chunks
   UNION ALL SELECT 'chunked_documents', count(DISTINCT document_id) FROM new_chunks
   UNION ALL SELECT 'chunk_tokens', CAST(sum(token_count) AS BIGINT) FROM new_chunks
+  UNION ALL SELECT 'embedded_documents', count(DISTINCT document_id) FROM new_chunks
   UNION ALL SELECT 'vectors_upserted', count(*) FROM new_chunks
   UNION ALL SELECT 'rejects', 0""")
 reg("sync", with_(SRC, LABELLED, STORE, MATCHED, MAPPED)

@@ -60,3 +60,9 @@ def test_search_accepts_a_term_list(spark):
     d = spark.createDataFrame([("x", "Apple, apple!")], "id string, content string")
     got = sorted((r.term, r.hits) for r in retrieval.search(d, ["Apple", "apple", "!"]).collect())
     assert got == [("!", 1), ("Apple", 1), ("apple", 1)]
+
+
+def test_search_ignore_case(spark):
+    d = spark.createDataFrame([("x", "Apple, apple!")], "id string, content string")
+    got = sorted((r.term, r.hits) for r in retrieval.search(d, ["APPLE"], ignore_case=True).collect())
+    assert got == [("apple", 2)]
