@@ -115,11 +115,13 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
         persisted.append(m)
         new_chunks = make_chunks(m.select("id", "content"), cfg.max_tokens, cfg.overlap)
 
-    next_docs = next_documents(docs, m, cfg.mode, ts)
     if out:
-        next_docs = write_snapshot(next_docs, out, "documents", ver)
+        # the mapped set first: the document store and the chunks read it
         m = write_snapshot(m, out, "mapped", ver)
         new_chunks = make_chunks(m.select("id", "content"), cfg.max_tokens, cfg.overlap)
+    next_docs = next_documents(docs, m, cfg.mode, ts)
+    if out:
+        next_docs = write_snapshot(next_docs, out, "documents", ver)
 
     stored = with_chunk_ids(new_chunks, ts, cfg.run_id if cfg.mode == APPEND else None)
     old_chunks = conform(chunks, CHUNKS)
