@@ -84,11 +84,13 @@ def pack(tokens: Column | str, max_tokens: int = MAX_TOKENS,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition when the input arrives in fewer partitions than
-    both the cores and the shuffle partitions (e.g. one big row group).
+    """Round-robin repartition of a *file scan* that arrives in fewer
+    partitions than both the cores and the shuffle partitions (e.g. a big
+    file with one row group).  Large scans already arrive in many splits and
+    are left alone.
 
-    Large scans already arrive in many splits, and a join's output has the
-    shuffle partition count, so neither gets an extra shuffle."""
+    Use it where data is read, not on a plan with shuffles: counting the
+    partitions of an adaptive plan runs its shuffle stages."""
     spark = df.sparkSession
     try:
         target = spark.sparkContext.defaultParallelism
@@ -104,8 +106,8 @@ def _packed(docs: DataFrame, max_tokens: int, overlap: int, id_col: str, text_co
     """``document_id, _sents, _cuts``.  The token counts are their own column:
     ``pack`` reads them many times inside its lambdas, and an attribute is read,
     where an inlined expression would be recomputed on every access."""
-    sents = spread(docs).select(F.col(id_col).alias("document_id"),
-                                splitter(F.col(text_col)).alias("_sents"))
+    sents = docs.select(F.col(id_col).alias("document_id"),
+                        splitter(F.col(text_col)).alias("_sents"))
     toks = sents.withColumn("_toks", per_sentence(F.col("_sents")))
     return toks.select("document_id", "_sents", "_toks",
                        pack(F.col("_toks"), max_tokens, overlap).alias("_cuts"))

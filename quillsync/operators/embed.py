@@ -38,19 +38,47 @@ def token_buckets(text: Column, dim: int = EMBED_DIM) -> Column:
                                F.lit(dim)))
 
 
+def _normalise(cs: Column) -> Column:
+    """Counts -> L2-normalised float vector; null when all counts are zero."""
+    norm = F.sqrt(F.aggregate(cs, F.lit(0.0).cast("double"),
+                              lambda a, c: a + (c * c).cast("double")))
+    return let(norm, lambda nrm: F.when(
+        nrm > 0, F.transform(cs, lambda c: (c / nrm).cast("float"))))
+
+
+_MARK_BASE = 48  # bucket b is written as the ASCII character 48 + b
+
+
 def hashing_embedder(dim: int = EMBED_DIM) -> Callable[[Column], Column]:
-    """Feature-hashing embedder on built-in functions (no Python worker)."""
+    """Feature-hashing embedder on built-in functions (no Python worker).
+
+    Bucket counts are taken on a string with one character per token
+    (``length(s) - length(replace(s, c, ''))`` per bucket: native byte scans)
+    rather than per-bucket array copies, which box every element.
+    """
+    if dim + _MARK_BASE > 127:
+        return _hashing_embedder_arrays(dim)
+
+    def embed(text: Column) -> Column:
+        marks = F.array_join(F.transform(token_buckets(text, dim),
+                                         lambda b: F.char(b + _MARK_BASE)), "")
+
+        def from_marks(m: Column) -> Column:
+            counts = F.transform(
+                F.sequence(F.lit(0), F.lit(dim - 1)),
+                lambda b: F.length(m) - F.length(F.replace(m, F.char(b + _MARK_BASE), F.lit(""))))
+            return let(counts, _normalise)
+        return let(marks, from_marks)
+    return embed
+
+
+def _hashing_embedder_arrays(dim: int) -> Callable[[Column], Column]:
+    """Same vectors for any ``dim``, counting on the bucket array."""
     def embed(text: Column) -> Column:
         def from_buckets(bs: Column) -> Column:
             counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)).cast("array<long>"),
                                  lambda b: F.size(bs) - F.size(F.array_remove(bs, b)))
-
-            def normalise(cs: Column) -> Column:
-                norm = F.sqrt(F.aggregate(cs, F.lit(0.0).cast("double"),
-                                          lambda a, c: a + (c * c).cast("double")))
-                return let(norm, lambda nrm: F.when(
-                    nrm > 0, F.transform(cs, lambda c: (c / nrm).cast("float"))))
-            return let(counts, normalise)
+            return let(counts, _normalise)
         return let(token_buckets(text, dim), from_buckets)
     return embed
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsync.operators.chunking import make_chunks
+from quillsync.operators.chunking import make_chunks, spread
 from quillsync.operators.embed import embed
 from quillsync.operators.matching import document_id
 from quillsync.operators.store import with_chunk_ids
@@ -41,8 +41,14 @@ LABELLED_NS = "labelled"
 HTML_MIME = "text/html"
 
 
+# The text tables are read spread over the cores: each driver file holds one
+# row group, which would otherwise be a single task of CPU-heavy text work.
+TEXT_TABLES = ("documents", "pages")
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def run_ts() -> F.Column:

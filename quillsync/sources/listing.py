@@ -27,11 +27,13 @@ def list_source(manifest: DataFrame, mime_types=DOCUMENT_MIME_TYPES) -> DataFram
 def scan_folder(spark: SparkSession, path: str, suffix: str = DOCX_SUFFIX) -> DataFrame:
     """Direct children of ``path`` ending in ``suffix`` (case-sensitive), as binary rows
     ``path, name, modificationTime, length, content``."""
+    from quillsync.operators.chunking import spread
     df = (spark.read.format("binaryFile")
           .option("pathGlobFilter", f"*{suffix}")
           .option("recursiveFileLookup", "false")
           .load(path))
-    return df.withColumn("name", F.regexp_extract(F.col("path"), r"([^/]*)$", 1))
+    # many small files pack into few splits; parsing them is CPU work
+    return spread(df).withColumn("name", F.regexp_extract(F.col("path"), r"([^/]*)$", 1))
 
 
 def select_files(files: DataFrame, titles=None, all: bool = True,

@@ -94,3 +94,10 @@ def test_group_by_document(spark):
     got = {r.document_id: (r.chunks, r.first_index, r.last_index, r.tokens, r.index_gaps)
            for r in embed.group_by_document(df).collect()}
     assert got == {"d": (3, 0, 3, 8, 1), "e": (1, 0, 0, 2, 0)}
+
+
+def test_both_counting_paths_give_the_same_vectors(spark):
+    df = spark.createDataFrame([("a", "one two two three, three three! Ünï 42")], "id string, content string")
+    fast = df.select(embed.hashing_embedder()(F.col("content"))).first()[0]
+    arrays = df.select(embed._hashing_embedder_arrays(64)(F.col("content"))).first()[0]
+    assert fast == arrays and len(fast) == 64
