@@ -30,65 +30,70 @@ TERMS_BROADCAST_MAX = 200_000
 TOPK_SCHEMA = "query_id string, id string, score double"
 
 
-def _block_topk(k: int):
+# A scoring step holds at most this many query x vector scores (8M doubles,
+# 64 MB): vector batches are scored in column slices of that size.
+MAX_SCORE_CELLS = 8_000_000
+
+
+def _merge_topk(best: list, S, ids, k: int) -> None:
+    """Fold a score block (queries x vectors) into each query's running top k.
+
+    Everything scoring at least the block's k-th best is a candidate, so ties
+    at the boundary are settled by id exactly; ``best[q]`` stays <= k long.
+    """
+    import numpy as np
+
+    kk = min(k, S.shape[1])
+    if kk == 0:
+        return
+    kth = -np.partition(-S, kk - 1, axis=1)[:, kk - 1]
+    for q in range(S.shape[0]):
+        cand = np.nonzero(S[q] >= kth[q])[0]
+        merged = best[q] + [(float(S[q, j]), ids[j]) for j in cand]
+        merged.sort(key=lambda t: (-t[0], t[1]))
+        best[q] = merged[:k]
+
+
+def _score_into(best: list, Q, V, ids, k: int) -> None:
     import numpy as np
+
+    step = max(1, MAX_SCORE_CELLS // max(1, Q.shape[0]))
+    for lo in range(0, V.shape[0], step):
+        S = np.round(Q @ V[lo:lo + step].T, SCORE_DECIMALS)
+        _merge_topk(best, S, ids[lo:lo + step], k)
+
+
+def _stack(values) -> "np.ndarray":
+    import numpy as np
+    return np.vstack([np.asarray(v, dtype=np.float64) for v in values])
+
+
+def _block_topk(k: int):
     import pandas as pd
 
     def run(vdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
         if vdf.empty or qdf.empty:
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        vids = vdf["id"].to_numpy(dtype=object)
-        V = np.vstack([np.asarray(v, dtype=np.float64) for v in vdf["values"]])
-        Q = np.vstack([np.asarray(q, dtype=np.float64) for q in qdf["values"]])
-        S = np.round(Q @ V.T, SCORE_DECIMALS)
-        kk = min(k, S.shape[1])
-        # k-th best score per query; everything at or above it is a candidate,
-        # so ties at the boundary are settled by id below, exactly.
-        kth = -np.partition(-S, kk - 1, axis=1)[:, kk - 1]
-        qids, ids, scores = [], [], []
-        for qi, qid in enumerate(qdf["query_id"].tolist()):
-            cand = np.nonzero(S[qi] >= kth[qi])[0]
-            order = sorted(cand, key=lambda j: (-S[qi, j], vids[j]))[:kk]
-            qids.extend([qid] * len(order))
-            ids.extend(vids[order].tolist())
-            scores.extend(S[qi, order].tolist())
-        return pd.DataFrame({"query_id": qids, "id": ids, "score": scores})
+        qids = qdf["query_id"].tolist()
+        best = [[] for _ in qids]
+        _score_into(best, _stack(qdf["values"]), _stack(vdf["values"]),
+                    vdf["id"].to_numpy(dtype=object), k)
+        rows = [(qids[q], i, sc) for q in range(len(qids)) for sc, i in best[q]]
+        return pd.DataFrame(rows, columns=["query_id", "id", "score"])
 
     return run
 
 
 def _partition_topk(k: int, qids: list, bq):
-    import numpy as np
     import pandas as pd
 
     def run(batches):
         Q = bq.value
-        best_s = np.empty((len(qids), 0))
-        best_i = np.empty((len(qids), 0), dtype=object)
+        best = [[] for _ in qids]
         for pdf in batches:
-            if pdf.empty:
-                continue
-            V = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf["values"]])
-            S = np.concatenate([best_s, np.round(Q @ V.T, SCORE_DECIMALS)], axis=1)
-            ids = np.concatenate([best_i, np.tile(pdf["id"].to_numpy(dtype=object), (len(qids), 1))],
-                                 axis=1)
-            kk = min(k, S.shape[1])
-            kth = -np.partition(-S, kk - 1, axis=1)[:, kk - 1]
-            keep_s, keep_i = [], []
-            for qi in range(len(qids)):
-                cand = np.nonzero(S[qi] >= kth[qi])[0]
-                order = sorted(cand, key=lambda j: (-S[qi, j], ids[qi, j]))[:kk]
-                keep_s.append(S[qi, order])
-                keep_i.append(ids[qi, order])
-            width = max(len(x) for x in keep_s)
-            best_s = np.full((len(qids), width), -np.inf)
-            best_i = np.empty((len(qids), width), dtype=object)
-            for qi in range(len(qids)):
-                best_s[qi, :len(keep_s[qi])] = keep_s[qi]
-                best_i[qi, :len(keep_i[qi])] = keep_i[qi]
-        rows = [(qids[qi], best_i[qi, j], float(best_s[qi, j]))
-                for qi in range(len(qids)) for j in range(best_s.shape[1])
-                if best_i[qi, j] is not None]
+            if not pdf.empty:
+                _score_into(best, Q, _stack(pdf["values"]), pdf["id"].to_numpy(dtype=object), k)
+        rows = [(qids[q], i, sc) for q in range(len(qids)) for sc, i in best[q]]
         yield pd.DataFrame(rows, columns=["query_id", "id", "score"])
 
     return run

@@ -66,3 +66,15 @@ def test_search_ignore_case(spark):
     d = spark.createDataFrame([("x", "Apple, apple!")], "id string, content string")
     got = sorted((r.term, r.hits) for r in retrieval.search(d, ["APPLE"], ignore_case=True).collect())
     assert got == [("apple", 2)]
+
+
+def test_sliced_scoring_equals_brute_force(monkeypatch):
+    rng = np.random.default_rng(3)
+    V = np.round(rng.normal(size=(97, 5)), 1)   # coarse values: many exact ties
+    Q = np.round(rng.normal(size=(6, 5)), 1)
+    ids = np.array([f"v{i:03d}" for i in range(97)], dtype=object)
+    monkeypatch.setattr(retrieval, "MAX_SCORE_CELLS", 30)   # 5 vectors per slice
+    best = [[] for _ in range(6)]
+    retrieval._score_into(best, Q, V, ids, 4)
+    want = _brute(V, list(ids), Q, list(range(6)), 4)
+    assert [[(i, s) for s, i in b] for b in best] == [want[q] for q in range(6)]
