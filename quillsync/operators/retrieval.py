@@ -25,6 +25,9 @@ QUERIES_PER_BLOCK = 1_024
 # Query sets up to this many rows are broadcast (checked with a count of the
 # query side); larger ones take the blocked cogroup path.
 BROADCAST_QUERIES_MAX = 4_096
+# A cogroup block holds at most this many vector (or query) values: 16M
+# doubles, 128 MB, whatever the dimension.
+BLOCK_CELLS = 16_000_000
 TERMS_BROADCAST_MAX = 200_000
 
 TOPK_SCHEMA = "query_id string, id string, score double"
@@ -134,9 +137,12 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 5,
         scored = v.mapInPandas(_partition_topk(k, qids, bq), TOPK_SCHEMA) if qids else \
             v.sparkSession.createDataFrame([], TOPK_SCHEMA)
     else:
+        dim = q.select(F.size("values")).first()[0] or 1
+        per_v = max(1, min(vectors_per_block, BLOCK_CELLS // dim))
+        per_q = max(1, min(queries_per_block, BLOCK_CELLS // dim))
         n_v = v.count()
-        bv = max(1, math.ceil(n_v / vectors_per_block))
-        bqn = max(1, math.ceil(n_q / queries_per_block))
+        bv = max(1, math.ceil(n_v / per_v))
+        bqn = max(1, math.ceil(n_q / per_q))
         vb = (v.withColumn("_vb", F.pmod(F.xxhash64("id"), F.lit(bv)))
               .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(bqn - 1)).cast("array<long>"))))
         qb = (q.withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(bqn)))
