@@ -105,6 +105,14 @@ def q_select_files(spark, d):
         "file_id", "name")
 
 
+@query("select_files_raw")
+def q_select_files_raw(spark, d):
+    """D7, the code's rule: the request list holds file names, compared raw."""
+    files = listing.list_source(fx.manifest(spark, d))
+    names = fx.requested_titles(spark, d).select(F.concat("title", F.lit(".docx")).alias("n"))
+    return listing.select_files(files, names, all=False, match=listing.RAW).select("file_id", "name")
+
+
 @query("fetch_documents")
 def q_fetch_documents(spark, d):
     landed = listing.fetch(fx.manifest(spark, d), fx.requested_titles(spark, d), all=False)
@@ -438,6 +446,16 @@ def q_sync_report(spark, d):
     return _sync(spark, d).report
 
 
+@query("sync_append")
+def q_sync_append(spark, d):
+    """D1, the code's behaviour: append mode inserts new documents and leaves
+    changed ones with their stored content."""
+    cfg = pipeline.SyncConfig(run_id="run-1", mode="append")
+    r = pipeline.sync(fx.manifest(spark, d), fx.store(spark, d), fx.chunk_store(spark, d),
+                      fx.vector_store(spark, d), all=True, cfg=cfg, run_ts=fx.run_ts())
+    return r.documents.select("id", "title", F.md5("content").alias("content_md5"))
+
+
 @query("sync")
 def q_sync(spark, d):
     docs = _sync(spark, d).documents

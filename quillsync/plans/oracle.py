@@ -215,6 +215,8 @@ reg("new_id", with_(SRC) + f"SELECT doc_id, {doc_id_of('title')} AS id FROM src"
 reg("source_listing", with_(MANIFEST, LISTED) + "SELECT file_id, name, mime_type FROM listed")
 reg("select_files", with_(MANIFEST, LISTED, LABELLED, REQUESTED) + f"""SELECT file_id, name FROM listed
   WHERE {title_of('name')} IN (SELECT title FROM requested)""")
+reg("select_files_raw", with_(MANIFEST, LISTED, LABELLED, REQUESTED) + """SELECT file_id, name FROM listed
+  WHERE name IN (SELECT title || '.docx' FROM requested)""")
 LANDED_REQ = f"""landed AS (
   SELECT {title_of('name')} || '.docx' AS landed_name,
          arg_min(file_id, (-position, file_id)) AS file_id
@@ -376,6 +378,9 @@ reg("sync_report", with_(*SYNC_BASE) + """
   UNION ALL SELECT 'embedded_documents', count(DISTINCT document_id) FROM new_chunks
   UNION ALL SELECT 'vectors_upserted', count(*) FROM new_chunks
   UNION ALL SELECT 'rejects', 0""")
+reg("sync_append", with_(SRC, LABELLED, STORE, MATCHED, MAPPED)
+    + """SELECT id, title, md5(content) AS content_md5 FROM store
+  UNION ALL SELECT id, title, md5(content) FROM mapped WHERE status = 'new'""")
 reg("sync", with_(SRC, LABELLED, STORE, MATCHED, MAPPED)
     + "SELECT id, title, md5(content) AS content_md5 FROM mapped")
 
