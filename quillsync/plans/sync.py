@@ -28,6 +28,7 @@ from quillsync.operators.store import (APPEND, REPLACE, keys_of, delete_chunks,
 from quillsync.operators.vectors import delete_vectors, to_vectors, upsert
 from quillsync.schemas import CHUNKS, DEFAULT_NAMESPACE, DOCUMENTS, conform
 from quillsync.sources.listing import TITLE, fetch, landed_documents, list_source
+from quillsync.sources.rejects import write_rejects
 
 
 @dataclass
@@ -97,8 +98,12 @@ def next_documents(store: DataFrame, m: DataFrame, mode: str,
 def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataFrame,
          titles=None, all: bool = False, cfg: SyncConfig | None = None,
          run_ts: Column | None = None, out: str | None = None,
-         version: str | int | None = None) -> SyncResult:
-    """Full sync: list -> select -> land -> match -> insert -> chunk -> embed -> upsert."""
+         version: str | int | None = None, rejects_path: str | None = None) -> SyncResult:
+    """Full sync: list -> select -> land -> match -> insert -> chunk -> embed -> upsert.
+
+    ``rejects_path``: append the run's rejects (failed embeddings, invalid
+    vectors) to that CSV folder once the vectors are written.
+    """
     cfg = cfg or SyncConfig()
     ts = run_ts if run_ts is not None else F.current_timestamp()
     listed = list_source(manifest)
@@ -151,6 +156,8 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
         next_vectors = write_snapshot(next_vectors, out, "vectors", ver)
 
     rejects = emb_rejects.unionByName(vec_rejects)
+    if rejects_path:
+        write_rejects(rejects, rejects_path)
     report = sync_report(listed, landed, m, emb_all)
     return SyncResult(next_docs, next_chunks, next_vectors, rejects, report, m, persisted)
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -103,3 +104,20 @@ def test_sync_writes_snapshots(spark, scratch):
         assert os.path.isdir(os.path.join(scratch, t, "v=1"))
     assert r.vectors.count() == r.chunks.count()
     assert reconcile(r.chunks, r.vectors).where(F.col("status") != "ok").count() == 0
+
+
+def test_sync_appends_rejects_to_the_error_log(spark, scratch):
+    from quillsync.operators import embed
+    from quillsync.sources.rejects import read_rejects
+
+    def model(texts):
+        return [None if len(t) % 2 else [1.0, 0.0] for t in texts]   # odd lengths fail
+
+    manifest = fx.manifest(spark, SF)
+    d0, c0, v0 = _empty_stores(spark)
+    cfg = pipeline.SyncConfig(embedder=embed.pandas_embedder(model, dim=2))
+    path = os.path.join(scratch, "errors")
+    r = pipeline.sync(manifest, d0, c0, v0, all=True, cfg=cfg, run_ts=TS1(), rejects_path=path)
+    back = read_rejects(spark, path)
+    assert back.count() == r.rejects.count() > 0
+    assert r.vectors.count() + back.count() == r.chunks.count()
