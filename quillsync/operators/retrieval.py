@@ -29,6 +29,9 @@ BROADCAST_QUERIES_MAX = 4_096
 # doubles, 128 MB, whatever the dimension.
 BLOCK_CELLS = 16_000_000
 TERMS_BROADCAST_MAX = 200_000
+# Hits (queries x k rows) up to this many rows are broadcast into the joins
+# that attach chunk text and titles, so the stores are never shuffled.
+HITS_BROADCAST_MAX = 1_000_000
 
 TOPK_SCHEMA = "query_id string, id string, score double"
 
@@ -102,16 +105,22 @@ def _partition_topk(k: int, qids: list, bq):
     return run
 
 
-def topk(vectors: DataFrame, queries: DataFrame, k: int = 5,
-         namespace: str | None = None,
-         vectors_per_block: int = VECTORS_PER_BLOCK,
-         queries_per_block: int = QUERIES_PER_BLOCK,
-         broadcast_max: int = BROADCAST_QUERIES_MAX) -> DataFrame:
+def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, **kw) -> DataFrame:
+    """Exact k nearest vectors per query; see :func:`topk_bounded`."""
+    return topk_bounded(vectors, queries, k, **kw)[0]
+
+
+def topk_bounded(vectors: DataFrame, queries: DataFrame, k: int = 5,
+                 namespace: str | None = None,
+                 vectors_per_block: int = VECTORS_PER_BLOCK,
+                 queries_per_block: int = QUERIES_PER_BLOCK,
+                 broadcast_max: int = BROADCAST_QUERIES_MAX) -> tuple[DataFrame, int]:
     """Exact k nearest vectors per query by dot product (cosine on unit vectors).
 
     ``vectors``: ``id, values`` (and ``namespace`` when filtering);
     ``queries``: ``query_id, values``.  Output: ``query_id, id, score, rank``;
-    scores are rounded to 6 decimals, ties broken by id.
+    scores are rounded to 6 decimals, ties broken by id.  Also returns the
+    proven row bound of the output (queries x k) for :func:`context`.
 
     A query set of at most ``broadcast_max`` rows (counted first) is
     broadcast and every vector partition is scored where it lies, keeping
@@ -151,8 +160,8 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 5,
                   .cogroup(qb.groupBy("_vb", "_qb"))
                   .applyInPandas(lambda a, b: _block_topk(k)(a, b), TOPK_SCHEMA))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
-    return (scored.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k))
+    hits = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return hits, n_q * k
 
 
 def centroids(vectors: DataFrame, group_col: str, dim: int,
@@ -163,14 +172,30 @@ def centroids(vectors: DataFrame, group_col: str, dim: int,
             .agg(F.array(*means).alias("values")))
 
 
-def context(hits: DataFrame, chunks: DataFrame, docs: DataFrame) -> DataFrame:
-    """Top-k hits joined back to their chunk text and document title."""
+def context(hits: DataFrame, chunks: DataFrame, docs: DataFrame,
+            hits_max_rows: int | None = None) -> DataFrame:
+    """Top-k hits joined back to their chunk text and document title.
+
+    With a proven bound on the hits (``topk_bounded`` returns one) of at most
+    ``HITS_BROADCAST_MAX`` rows, every join broadcasts its small side (the
+    hits, their document ids, the titles found, each bounded by the hits):
+    the chunk and document stores are scanned where they lie, never shuffled
+    (the hit documents' ids come from a second, column-pruned chunk scan).
+    """
+    small = hits_max_rows is not None and hits_max_rows <= HITS_BROADCAST_MAX
     c = chunks.select(F.col("id"), "document_id", "chunk_index",
                       F.col("content").alias("chunk_content"))
     d = docs.select(F.col("id").alias("document_id"), "title")
-    return (hits.join(c, "id", "inner").join(d, "document_id", "left")
-            .select("query_id", "rank", "score", F.col("id").alias("chunk_id"),
-                    "document_id", "title", "chunk_index", "chunk_content"))
+    cols = ["query_id", "rank", "score", F.col("id").alias("chunk_id"),
+            "document_id", "title", "chunk_index", "chunk_content"]
+    if not small:
+        return hits.join(c, "id", "inner").join(d, "document_id", "left").select(*cols)
+    with_text = c.join(F.broadcast(hits), "id", "inner")
+    # titles of the hit documents only (a broadcast semi join scans the store
+    # in place), then a left join whose broadcast build side is that small set
+    titles = d.join(F.broadcast(with_text.select("document_id").distinct()), "document_id",
+                    "left_semi")
+    return with_text.join(F.broadcast(titles), "document_id", "left").select(*cols)
 
 
 def search(docs: DataFrame, terms, id_col: str = "id",

@@ -478,9 +478,9 @@ def q_retrieve_context(spark, d):
     queries = fx.table(spark, d, "benchmark").select(
         F.col("item_id").cast("string").alias("query_id"),
         embed.hashing_embedder()(F.col("text")).alias("values"))
-    hits = retrieval.topk(_store_vectors(spark, d), queries, k=CONTEXT_K,
-                          namespace=DEFAULT_NAMESPACE)
-    ctx = retrieval.context(hits, fx.chunk_store(spark, d), fx.store(spark, d))
+    hits, bound = retrieval.topk_bounded(_store_vectors(spark, d), queries, k=CONTEXT_K,
+                                         namespace=DEFAULT_NAMESPACE)
+    ctx = retrieval.context(hits, fx.chunk_store(spark, d), fx.store(spark, d), hits_max_rows=bound)
     return ctx.select("query_id", F.col("rank").cast("long").alias("rank"), "score", "chunk_id",
                       "document_id", "title", _long("chunk_index"))
 

@@ -78,3 +78,21 @@ def test_sliced_scoring_equals_brute_force(monkeypatch):
     retrieval._score_into(best, Q, V, ids, 4)
     want = _brute(V, list(ids), Q, list(range(6)), 4)
     assert [[(i, s) for s, i in b] for b in best] == [want[q] for q in range(6)]
+
+
+def test_context_broadcasts_bounded_hits(spark):
+    hits = spark.createDataFrame([("q", "c1", 0.9, 1), ("q", "c9", 0.5, 2)],
+                                 "query_id string, id string, score double, rank int")
+    chunks = spark.range(50).select(
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("id"),
+        F.concat(F.lit("d"), (F.col("id") % 2 + 1).cast("string")).alias("document_id"),
+        F.col("id").cast("int").alias("chunk_index"), F.lit("text").alias("content"))
+    docs = spark.createDataFrame([("d1", "Title"), ("d2", "Other")], "id string, title string")
+    df = retrieval.context(hits, chunks, docs, hits_max_rows=2)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # hits -> chunks (twice: once pruned to the ids), semi join for titles, left join
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 4
+    got = sorted((r.chunk_id, r.title, r.rank) for r in df.collect())
+    assert got == [("c1", "Other", 1), ("c9", "Other", 2)]
+    unbounded = sorted((r.chunk_id, r.title, r.rank) for r in retrieval.context(hits, chunks, docs).collect())
+    assert unbounded == got
