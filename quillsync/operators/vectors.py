@@ -68,7 +68,8 @@ def to_vectors(embedded: DataFrame, namespace: str = DEFAULT_NAMESPACE,
     return valid, rejects
 
 
-def upsert(old: DataFrame, new: DataFrame, keys=("namespace", "id")) -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, keys=("namespace", "id"),
+           materialize: bool = False) -> DataFrame:
     """Next state: every key of ``new`` replaces the old row; one row per key.
 
     Duplicate keys inside ``new`` resolve to one row deterministically (the
@@ -76,19 +77,26 @@ def upsert(old: DataFrame, new: DataFrame, keys=("namespace", "id")) -> DataFram
 
     An anti join rather than one full outer join: when the batch is small,
     AQE broadcasts its keys and the (large) old store is never shuffled.  The
-    batch is read twice (keys and rows), so pass a materialised batch (as
-    ``sync(out=...)`` does) when it is expensive to recompute.
+    batch is read twice (keys and rows): ``materialize=True`` first writes it
+    with a reliable ``checkpoint()`` to the shared checkpoint folder, so an
+    expensive lazy batch (chunking + embedding) is computed once.
     """
     keys = list(keys)
+    if materialize:
+        from quillsync.session import cut_lineage
+        new = cut_lineage(new)
     order = F.struct(F.col("metadata.document_id"), F.col("metadata.chunk_index"))
     deduped = first_per_key(new, keys, order).select(*old.columns)
     return old.join(deduped.select(*keys), keys, "left_anti").unionByName(deduped)
 
 
-def sync_vectors(old: DataFrame, embedded: DataFrame, namespace: str = DEFAULT_NAMESPACE
-                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
+def sync_vectors(old: DataFrame, embedded: DataFrame, namespace: str = DEFAULT_NAMESPACE,
+                 materialize: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Validate + upsert all documents' vectors at once -> (store, upserted, rejects)."""
     valid, rejects = to_vectors(embedded, namespace)
+    if materialize:
+        from quillsync.session import cut_lineage
+        valid = cut_lineage(valid)
     return upsert(old, valid), valid, rejects
 
 

@@ -101,3 +101,11 @@ def test_both_counting_paths_give_the_same_vectors(spark):
     fast = df.select(embed.hashing_embedder()(F.col("content"))).first()[0]
     arrays = df.select(embed._hashing_embedder_arrays(64)(F.col("content"))).first()[0]
     assert fast == arrays and len(fast) == 64
+
+
+def test_upsert_materialized_batch_gives_the_same_store(spark):
+    old = _vec(spark, [("n", "a", [1.0], "d1", 0), ("n", "b", [2.0], "d1", 1)])
+    new = _vec(spark, [("n", "a", [5.0], "d2", 3), ("n", "c", [7.0], "d2", 4)])
+    lazy = sorted((r.id, r["values"][0]) for r in vectors.upsert(old, new).collect())
+    mat = sorted((r.id, r["values"][0]) for r in vectors.upsert(old, new, materialize=True).collect())
+    assert lazy == mat == [("a", 5.0), ("b", 2.0), ("c", 7.0)]
