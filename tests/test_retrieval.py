@@ -96,3 +96,19 @@ def test_context_broadcasts_bounded_hits(spark):
     assert got == [("c1", "Other", 1), ("c9", "Other", 2)]
     unbounded = sorted((r.chunk_id, r.title, r.rank) for r in retrieval.context(hits, chunks, docs).collect())
     assert unbounded == got
+
+
+def test_cogroup_blocks_sized_by_value_budget(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    V = rng.normal(size=(120, 8)).astype(np.float32)
+    Q = rng.normal(size=(9, 8))
+    ids = [f"v{i:03d}" for i in range(120)]
+    vdf = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, V)], "id string, values array<float>")
+    qdf = spark.createDataFrame([(f"q{i}", q.tolist()) for i, q in enumerate(Q)],
+                                "query_id string, values array<double>")
+    monkeypatch.setattr(retrieval, "BLOCK_CELLS", 8 * 25)   # 25 vectors / queries per block
+    hits = retrieval.topk(vdf, qdf, k=3, broadcast_max=0).collect()
+    got = {}
+    for r in sorted(hits, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.id, r.score))
+    assert got == _brute(V.astype(np.float64), ids, Q, [f"q{i}" for i in range(9)], 3)
