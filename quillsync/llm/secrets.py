@@ -1,0 +1,225 @@
+"""Secret spans: fixed patterns, plus candidates confirmed by their structure.
+
+Base kinds, by pattern alone (leftmost, non-overlapping within a kind):
+``assign``, ``access``, ``hex``.  The method adds spans that are only reported
+when the candidate, decoded, has the structure of a key or signed token:
+
+* ``token``  three base64url segments whose first decodes to a JSON object with
+  an ``alg`` string and whose second decodes to a JSON object;
+* ``pem``    a PEM block of a private key whose body is base64 of DER (or of the
+  OpenSSH container) with consistent nested lengths;
+* ``der``    a base64 or hex run that decodes to a DER SEQUENCE whose nested
+  lengths fill it exactly and which starts with a version integer or an
+  algorithm identifier;
+* ``ssh``    a base64 run that decodes to length-prefixed SSH key fields.
+
+Spans are [start, end) in code points of the text.  Null text: no spans.
+Texts are scanned whole; candidates of any length are decoded.
+"""
+
+from __future__ import annotations
+
+import base64
+import binascii
+import hashlib
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quillsync.llm.text import local, slices
+
+# fixed patterns and minimum lengths of the base kinds
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                    re.IGNORECASE | re.ASCII)
+ASSIGN_VALUE = 12
+ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")       # 18 characters or more
+HEX = re.compile(r"[0-9a-f]{16,}")
+KINDS = ("assign", "access", "hex", "token", "pem", "der", "ssh")
+
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]+\.ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
+_HEX_ANY = re.compile(r"[0-9A-Fa-f]{48,}")
+_OPENSSH = b"openssh-key-v1\0"
+
+
+def _unbase64(s: str) -> bytes | None:
+    s = s.rstrip("=").replace("-", "+").replace("_", "/")
+    if len(s) % 4 == 1:
+        return None
+    try:
+        return base64.b64decode(s + "=" * (-len(s) % 4), validate=True)
+    except (binascii.Error, ValueError):
+        return None
+
+
+def _json_object(segment: str) -> dict | None:
+    raw = _unbase64(segment)
+    try:
+        value = json.loads(raw) if raw is not None else None
+    except (ValueError, RecursionError):
+        return None
+    return value if isinstance(value, dict) else None
+
+
+def is_signed_token(text: str) -> bool:
+    head, body, _ = text.split(".", 2)
+    header = _json_object(head)
+    return header is not None and isinstance(header.get("alg"), str) and _json_object(body) is not None
+
+
+def der_items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, start, end) of the DER items that fill data[at:end] exactly, else None."""
+    items = []
+    while at < end:
+        if at + 2 > end:
+            return None
+        tag, size = data[at], data[at + 1]
+        at += 2
+        if size & 0x80:
+            n = size & 0x7F
+            if not 1 <= n <= 4 or at + n > end:
+                return None
+            size = int.from_bytes(data[at:at + n], "big")
+            if size < 128 or (n > 1 and data[at] == 0):
+                return None                       # not the shortest form
+            at += n
+        if at + size > end:
+            return None
+        items.append((tag, at, at + size))
+        at += size
+    return items
+
+
+def is_der_key(data: bytes) -> bool:
+    """A SEQUENCE filling the data, starting with a small version INTEGER or with an
+    algorithm SEQUENCE that starts with an OBJECT IDENTIFIER, and nested to the end."""
+    outer = der_items(data, 0, len(data))
+    if not outer or len(outer) != 1 or outer[0][0] != 0x30:
+        return False
+    parts = der_items(data, outer[0][1], outer[0][2])
+    if not parts or len(parts) < 2:
+        return False
+    tag, a, e = parts[0]
+    if tag == 0x02:
+        return e - a == 1 and data[a] <= 3 and parts[1][0] in (0x02, 0x04, 0x30)
+    inner = der_items(data, a, e) if tag == 0x30 else None
+    return bool(inner) and inner[0][0] == 0x06 and inner[0][2] > inner[0][1] and parts[1][0] in (0x03, 0x04)
+
+
+def is_ssh_key(data: bytes) -> bool:
+    """Length-prefixed fields that fill the data, the first a key algorithm's name."""
+    if data.startswith(_OPENSSH):
+        data = data[len(_OPENSSH):]
+        n = int.from_bytes(data[:4], "big")
+        return 0 < n <= 64 and data[4:4 + n].isascii() and len(data) > 4 + n
+    fields, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at:at + 4], "big")
+        if at + 4 + n > len(data):
+            return False
+        fields.append(data[at + 4:at + 4 + n])
+        at += 4 + n
+    return len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]{3,60}", fields[0]) is not None
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind number, end) of the base kinds, by start and then kind."""
+    # a failing assignment still uses up its characters, so its length is tested after the match
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_VALUE]
+    found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
+    found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    return sorted(found)
+
+
+def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
+    """Spans whose decoded structure confirms them; PEM bodies are not reported twice."""
+    found = [(m.start(), 3, m.end()) for m in _TOKEN.finditer(text) if is_signed_token(m.group())]
+    if "PRIVATE KEY-----" in text:
+        for m in _PEM.finditer(text):
+            data = _unbase64(re.sub(r"\s", "", m.group(2)))
+            if data and (is_der_key(data) or is_ssh_key(data)):
+                found.append((m.start(), 4, m.end()))
+    taken = [(s, e) for s, k, e in found]
+    seen = set()
+    for pattern, decode in ((_BASE64, _unbase64), (_HEX_ANY, _unhex)):
+        for m in pattern.finditer(text):
+            if m.span() in seen or any(s <= m.start() and m.end() <= e for s, e in taken):
+                continue
+            data = decode(m.group())
+            if not data or data[0] not in (0x30, 0x00, 0x6F):
+                continue
+            kind = 5 if is_der_key(data) else 6 if is_ssh_key(data) else None
+            if kind:
+                seen.add(m.span())
+                found.append((m.start(), kind, m.end()))
+    return found
+
+
+def _unhex(s: str) -> bytes | None:
+    return bytes.fromhex(s) if len(s) % 2 == 0 else None
+
+
+def spans(text: str) -> list[tuple[int, int, int]]:
+    return sorted(base_spans(text) + confirmed_spans(text))
+
+
+def show(found: list[tuple[int, int, int]]) -> str:
+    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in found)
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_assign, n_access, n_hex, base_sha256, spans) of every row; no shuffle."""
+    rows = docs.select(F.col(id_col).alias("id"), local(text_col))
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            base = [base_spans(t) for t in b.column("text").to_pylist()]
+            full = [sorted(x + confirmed_spans(t)) for x, t in zip(base, b.column("text").to_pylist())]
+            counts = [pa.array([sum(k == n for _, k, _ in x) for x in base], pa.int64()) for n in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), *counts,
+                 pa.array([hashlib.sha256(show(x).encode()).hexdigest() for x in base], pa.string()),
+                 pa.array([show(x) for x in full], pa.string())],
+                names=["id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+
+    return rows.mapInArrow(run, f"id {kind}, n_assign long, n_access long, n_hex long, "
+                                "base_sha256 string, spans string").withColumnRenamed("id", id_col)
+
+
+def redacted(text: str) -> str:
+    """The text with every reported span replaced by ``[REDACTED:kind]``.
+
+    Overlapping spans are replaced together, under the kind of the first.
+    """
+    merged: list[list] = []
+    for s, k, e in spans(text):
+        if merged and s < merged[-1][2]:
+            merged[-1][2] = max(merged[-1][2], e)
+        else:
+            merged.append([s, k, e])
+    out, at = [], 0
+    for s, k, e in merged:
+        out += [text[at:s], f"[REDACTED:{KINDS[k]}]"]
+        at = e
+    return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with redacted texts; null texts stay null; ``size_col``, where there is
+    one, becomes the new length in code points of the texts that changed."""
+    @F.pandas_udf("string")
+    def clean(s):
+        return s.map(lambda t: t if t is None else redacted(t))
+
+    out = docs.withColumn("__new", clean(F.col(f"`{text_col}`").cast("string")))
+    if size_col in docs.columns:
+        kind = docs.schema[size_col].dataType
+        out = out.withColumn(size_col, F.when(F.col("__new").eqNullSafe(F.col(text_col)), F.col(size_col))
+                             .otherwise(F.length("__new").cast(kind)))
+    return out.withColumn(text_col, F.col("__new")).select(*docs.columns)
