@@ -13,7 +13,7 @@ named ones are ignored (so extra columns may have any name).
 * ``jaccard``    n-gram Jaccard self-join and its components
 * ``bpe``        heap and linked-list byte-pair token counts
 * ``decontam``   template windows against a benchmark (native)
-* ``secrets``    secret spans with structural confirmation
+* ``secret_scan`` secret spans with structural confirmation
 * ``quality``    factorisation machine over hashed words and structure
 * ``sketch``     bottom-k fingerprints
 * ``chat``       schema fingerprints, canonical turns, chat template

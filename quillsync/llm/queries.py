@@ -42,8 +42,8 @@ def op5_bpe_counts(spark, d):
 
 @query
 def op7_secrets(spark, d):
-    from quillsync.llm import secrets
-    return secrets.scan(_table(spark, d, "documents"))
+    from quillsync.llm import secret_scan
+    return secret_scan.scan(_table(spark, d, "documents"))
 
 
 @query
