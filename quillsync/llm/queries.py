@@ -34,6 +34,12 @@ def op3_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op4_jaccard(spark, d):
+    from quillsync.llm import jaccard
+    return jaccard.components(_table(spark, d, "documents"))
+
+
 @query
 def op5_bpe_counts(spark, d):
     from quillsync.llm import bpe
