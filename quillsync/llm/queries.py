@@ -28,6 +28,12 @@ def crc_part(doc_id: str, n: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
+@query
+def op2_licences(spark, d):
+    from quillsync.llm import licences
+    return licences.scan(_table(spark, d, "documents"))
+
+
 @query
 def op3_packing(spark, d):
     from quillsync.llm import packing
@@ -46,6 +52,12 @@ def op5_bpe_counts(spark, d):
     return bpe.token_counts(_table(spark, d, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+@query
+def op6_decontamination(spark, d):
+    from quillsync.llm import decontam
+    return decontam.contaminated(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
 @query
 def op7_secrets(spark, d):
     from quillsync.llm import secret_scan
@@ -65,3 +77,23 @@ def op8_quality(spark, d):
 def op9_fingerprints(spark, d):
     from quillsync.llm import sketch
     return sketch.with_edited(_table(spark, d, "documents"))
+
+
+@query
+def op10_chat(spark, d):
+    from quillsync.llm import chat
+    extra = spark.createDataFrame(
+        [(-1, t, r, "</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))],
+        "conv_id long, turn long, role string, text string")
+    rows = _table(spark, d, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(extra)
+    turns = chat.canonical(chat.as_records(rows), "payload", ["conv_id", "turn"])
+    return chat.read_back(chat.formatted(turns))
+
+
+def _sql():
+    from quillsync.llm import licences
+    SQL["op2_licences"] = licences.oracle_sql()
+
+
+_sql()
