@@ -28,6 +28,12 @@ def crc_part(doc_id: str, n: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
+@query
+def op1_katz(spark, d):
+    from quillsync.llm import katz
+    return katz.scores(_table(spark, d, "documents"), crc_part("doc_id", 10) == 0)
+
+
 @query
 def op2_licences(spark, d):
     from quillsync.llm import licences
