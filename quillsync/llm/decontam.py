@@ -105,28 +105,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots, changed_slots): one row for
     each document and item it holds, for the best alignment of the two."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    # rows that share a doc_id but not their text are told apart until the end
+    rows = docs.where(F.col(id_col).isNotNull()).select(
+        F.struct(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text")).alias("doc"),
+        text.alias("text"))
     items = _items(benchmark, item_col, item_text)
     known = _item_windows(items)
     if known.count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
-    own = _templates(rows, "doc_id").select("doc_id", F.posexplode(_windows()).alias("place", "h"))
+    own = _templates(rows, "doc").select("doc", F.posexplode(_windows()).alias("place", "h"))
     shifts = own.join(known, "h") \
-        .groupBy("doc_id", "item_id", (F.col("place") - F.col("at")).alias("shift"), "n") \
+        .groupBy("doc", "item_id", (F.col("place") - F.col("at")).alias("shift"), "n") \
         .agg(F.count_distinct("at").alias("hits")) \
         .where((F.col("hits") * 2 >= F.col("n")) | (F.col("hits") >= RUN))
     asked = shifts.join(_slots(items, "item_id"), "item_id") \
         .withColumn("place", F.col("place") + F.col("shift"))
-    found = asked.join(_slots(_templates(rows, "doc_id"), "doc_id").withColumnRenamed("value", "here"),
-                       ["doc_id", "place", "kind"]) \
-        .groupBy("doc_id", "item_id", "shift", "kind", "value") \
+    found = asked.join(_slots(_templates(rows, "doc"), "doc").withColumnRenamed("value", "here"),
+                       ["doc", "place", "kind"]) \
+        .groupBy("doc", "item_id", "shift", "kind", "value") \
         .agg(F.min("here").alias("low"), F.max("here").alias("high")) \
-        .groupBy("doc_id", "item_id", "shift") \
+        .groupBy("doc", "item_id", "shift") \
         .agg(F.count("*").alias("n_slots"), F.sum((F.col("low") != F.col("high")).cast("long")).alias("broken"),
              F.sum((F.col("low") != F.col("value")).cast("long")).alias("changed"))
-    return shifts.join(found, ["doc_id", "item_id", "shift"], "left") \
+    return shifts.join(found, ["doc", "item_id", "shift"], "left") \
         .where(F.coalesce("broken", F.lit(0)) == 0) \
-        .groupBy("doc_id", "item_id") \
+        .groupBy(F.col("doc.id").alias("doc_id"), "item_id") \
         .agg(F.max(F.struct("hits", F.col("n").alias("of"), F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
                             F.coalesce("changed", F.lit(0)).alias("changed"))).alias("best")) \
         .select("doc_id", "item_id", F.col("best.hits").alias("n_windows"), F.col("best.of").alias("item_windows"),

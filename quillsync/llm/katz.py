@@ -53,7 +53,7 @@ from quillsync.llm.text import Words, local, mix, slices
 from quillsync.session import scratch_dir
 
 KATZ = 5                      # counts up to this are discounted
-BLOCK_TEXT = 12 << 20
+BLOCK_TEXT = 8 << 20
 HOT_SHARE = 2                 # a history is split from 1/2 of a partition's share of the tokens
 
 _END, _BEGIN = np.uint64(0x656E64), np.uint64(0x626567696E)
@@ -437,11 +437,12 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
 
     blocks = rows.mapInArrow(_tokens, _ROW).unionByName(words.where(f"kind = {_COUNTS}"))
     pairs = dealt(blocks, "block").mapInArrow(_pairs(n, n, unigrams.tokens), _ROW).repartition(n, "bucket")
-    # read twice: for the counts of counts, then for the scores; Spark keeps one exchange for both
-    ordered = pairs.sortWithinPartitions("bucket", "kind", "block")
-    counted = ordered.mapInArrow(_count_pairs(unigrams, n), "stats binary") \
-        .agg(F.collect_list("stats").alias("stats")).withColumn("one", F.lit(1))        # one row a partition
-    scored = ordered.withColumn("one", F.lit(1)).join(F.broadcast(counted), "one") \
-        .select("bucket", "kind", "block", "payload", "stats") \
+    # read twice: for the counts of counts, then for the scores; Spark keeps one exchange for
+    # both.  The sort comes after the join, as the optimizer drops one before it.
+    order = ("bucket", "kind", "block")
+    counted = pairs.sortWithinPartitions(*order).mapInArrow(_count_pairs(unigrams, n), "stats binary") \
+        .agg(F.collect_list("stats").alias("stats")).withColumn("one", F.size("stats") % 1)   # a row a partition
+    scored = pairs.withColumn("one", F.col("bucket") % 1).join(F.broadcast(counted), "one") \
+        .select("bucket", "kind", "block", "payload", "stats").sortWithinPartitions(*order) \
         .mapInArrow(_score_pairs(unigrams, n), _ROW)
     return dealt(scored, "block").mapInArrow(_totals(unigrams), RESULT)

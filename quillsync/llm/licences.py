@@ -135,7 +135,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a paragraph is a run of lines that are not blank
     breaks = F.transform("lines", lambda x: F.when(x == "", "\n").otherwise(x))
     paragraphs = F.split(F.array_join(breaks, " "), "\n")
-    parts = F.array_distinct(F.filter(F.concat("lines", F.transform(paragraphs, F.trim)), lambda x: x != ""))
+    parts = F.array_distinct(F.filter(F.concat("lines", F.transform(paragraphs, lambda x: F.trim(x))), lambda x: x != ""))
     whole = F.sha2(F.array_join(F.filter("lines", lambda x: x != ""), " "), 256)
     part = rows.select("id", "row", whole.alias("whole"),
                        F.explode_outer(F.transform(parts, lambda x: F.sha2(x, 256))).alias("digest"))
