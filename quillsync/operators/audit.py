@@ -25,16 +25,16 @@ def reconcile(chunks: DataFrame, vectors: DataFrame,
     """Chunk store vs vector store by id: ``ok``, ``missing_vector`` (a chunk
     without vector, e.g. a failed embedding) or ``orphan_vector`` (a vector
     without chunk, e.g. a failed vector delete)."""
-    c = chunks.select(F.col("id"), F.col("document_id").alias("chunk_document_id"))
+    c = chunks.select(F.col("id"), F.col("document_id").alias("chunk_document_id"),
+                      F.lit(True).alias("_chunk"))
     v = (vectors.where(F.col("namespace") == F.lit(namespace))
-         .select("id", F.col("metadata.document_id").alias("vector_document_id")))
+         .select("id", F.col("metadata.document_id").alias("vector_document_id"),
+                 F.lit(True).alias("_vector")))
     j = c.join(v, "id", "full_outer")
-    status = (F.when(F.col("chunk_document_id").isNull() & F.col("vector_document_id").isNotNull(),
-                     F.lit(ORPHAN_VECTOR))
-              .when(F.col("vector_document_id").isNull(), F.lit(MISSING_VECTOR))
+    # by a mark of each side: a document_id may be null on either
+    status = (F.when(F.col("_chunk").isNull(), F.lit(ORPHAN_VECTOR))
+              .when(F.col("_vector").isNull(), F.lit(MISSING_VECTOR))
               .otherwise(F.lit(OK)))
-    # chunk_document_id can only be null on the vector-only side of the join:
-    # the chunk store's document_id is always set by make_chunks.
     return j.select("id", F.coalesce("chunk_document_id", "vector_document_id").alias("document_id"),
                     status.alias("status"))
 
@@ -87,13 +87,13 @@ def sync_report(listed: DataFrame, landed: DataFrame, mapped_docs: DataFrame,
 
 
 def delete_report(ids: DataFrame, docs: DataFrame, chunks: DataFrame,
-                  vectors: DataFrame) -> DataFrame:
+                  vectors: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
     """Ids found and the rows each store loses when those ids are deleted
     (counted on the semi-join side, before the delete)."""
     k = ids.select(F.col(ids.columns[0]).cast("string").alias("_id")).distinct()
     d = docs.join(k, docs["id"] == k["_id"], "left_semi")
     c = chunks.join(k, chunks["document_id"] == k["_id"], "left_semi")
-    v = vectors.join(k, F.col("metadata.document_id") == k["_id"], "left_semi")
+    v = vectors.where(F.col("namespace") == F.lit(namespace)).join(k, F.col("metadata.document_id") == k["_id"], "left_semi")
     return metric_rows({
         "ids_found": count_of(k),
         "documents_deleted": count_of(d),

@@ -131,9 +131,9 @@ def split_embedded(out: DataFrame, run_ts: Column | None = None) -> tuple[DataFr
     bad = out.where(F.col("embedding").isNull()).select(
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         F.col("document_id").cast("string").alias("filename"),
-        F.concat(F.lit("[Embeddings] Failed to generate embedding for [doc: "),
+        F.concat(F.lit("no_embedding [doc="),
                  F.coalesce(F.col("document_id").cast("string"), F.lit("")),
-                 F.lit(" | chunk: "), F.coalesce(F.col("id").cast("string"), F.lit("")),
+                 F.lit(" | chunk="), F.coalesce(F.col("id").cast("string"), F.lit("")),
                  F.lit("]")).alias("error"))
     return ok, bad
 

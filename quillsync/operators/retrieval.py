@@ -174,7 +174,8 @@ def centroids(vectors: DataFrame, group_col: str, dim: int,
 
 def context(hits: DataFrame, chunks: DataFrame, docs: DataFrame,
             hits_max_rows: int | None = None) -> DataFrame:
-    """Top-k hits joined back to their chunk text and document title.
+    """Top-k hits joined back to their chunk text and document title (null where
+    a vector has no chunk any more).
 
     With a proven bound on the hits (``topk_bounded`` returns one) of at most
     ``HITS_BROADCAST_MAX`` rows, every join broadcasts its small side (the
@@ -189,8 +190,10 @@ def context(hits: DataFrame, chunks: DataFrame, docs: DataFrame,
     cols = ["query_id", "rank", "score", F.col("id").alias("chunk_id"),
             "document_id", "title", "chunk_index", "chunk_content"]
     if not small:
-        return hits.join(c, "id", "inner").join(d, "document_id", "left").select(*cols)
-    with_text = c.join(F.broadcast(hits), "id", "inner")
+        return hits.join(c, "id", "left").join(d, "document_id", "left").select(*cols)
+    # the hit chunks, found by a broadcast semi join, are as few as the hits
+    found = c.join(F.broadcast(hits.select("id").distinct()), "id", "left_semi")
+    with_text = hits.join(F.broadcast(found), "id", "left")
     # titles of the hit documents only (a broadcast semi join scans the store
     # in place), then a left join whose broadcast build side is that small set
     titles = d.join(F.broadcast(with_text.select("document_id").distinct()), "document_id",

@@ -11,11 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillsync.operators.matching import first_per_key
 from quillsync.schemas import DEFAULT_NAMESPACE
 
-FETCH_LIMIT = 1000  # Fixed value: the reference's default fetch limit.
-
 
 def _reject(reason: Column, document_id: Column, chunk_id: Column) -> Column:
     return F.concat(F.lit("[doc="), F.coalesce(document_id, F.lit("")),
@@ -35,10 +32,10 @@ def reject_reason(cols) -> Column:
     """Why an embedded chunk cannot become a vector (null when it can)."""
     cid = F.col("id").cast("string")
     emb = F.col("embedding")
-    return (F.when(cid.isNull() | (cid == ""), F.lit("Missing chunk ID from database"))
-            .when(emb.isNull() | (F.size(emb) == 0), F.lit("Missing embedding"))
-            .when(_index().isNull(), F.lit("invalid chunk_index"))
-            .when(_tokens(cols).isNull(), F.lit("invalid token_count")))
+    return (F.when(cid.isNull() | (cid == ""), F.lit("no_chunk_id"))
+            .when(emb.isNull() | (F.size(emb) == 0), F.lit("no_embedding"))
+            .when(_index().isNull(), F.lit("bad_chunk_index"))
+            .when(_tokens(cols).isNull(), F.lit("bad_token_count")))
 
 
 def to_vectors(embedded: DataFrame, namespace: str = DEFAULT_NAMESPACE,
@@ -72,8 +69,8 @@ def upsert(old: DataFrame, new: DataFrame, keys=("namespace", "id"),
            materialize: bool = False) -> DataFrame:
     """Next state: every key of ``new`` replaces the old row; one row per key.
 
-    Duplicate keys inside ``new`` resolve to one row deterministically (the
-    smallest ``(document_id, chunk_index)``), via a partial aggregation.
+    Of duplicate keys inside ``new`` the last write wins: the largest
+    ``(chunk_index, document_id, values)``, a total order, via a partial aggregation.
 
     An anti join rather than one full outer join: when the batch is small,
     AQE broadcasts its keys and the (large) old store is never shuffled.  The
@@ -85,8 +82,10 @@ def upsert(old: DataFrame, new: DataFrame, keys=("namespace", "id"),
     if materialize:
         from quillsync.session import cut_lineage
         new = cut_lineage(new)
-    order = F.struct(F.col("metadata.document_id"), F.col("metadata.chunk_index"))
-    deduped = first_per_key(new, keys, order).select(*old.columns)
+    order = F.struct("metadata.chunk_index", "metadata.document_id", "values")
+    row = F.struct(*[c for c in old.columns if c not in keys])
+    deduped = new.groupBy(*keys).agg(F.max_by(row, order).alias("_row")) \
+        .select(*keys, "_row.*").select(*old.columns)
     return old.join(deduped.select(*keys), keys, "left_anti").unionByName(deduped)
 
 
@@ -100,30 +99,32 @@ def sync_vectors(old: DataFrame, embedded: DataFrame, namespace: str = DEFAULT_N
     return upsert(old, valid), valid, rejects
 
 
-def vectors_of(vectors: DataFrame, doc_id: str, limit: int = FETCH_LIMIT,
+def vectors_of(vectors: DataFrame, doc_id: str, limit: int | None = None,
                namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
-    """Vectors of one document (metadata filter), first ``limit`` by id."""
-    return (vectors.where((F.col("namespace") == namespace)
+    """Vectors of one document (metadata filter); with ``limit`` the first by id."""
+    found = vectors.where((F.col("namespace") == namespace)
                           & (F.col("metadata.document_id") == F.lit(doc_id)))
-            .orderBy("id").limit(limit))
+    return found if limit is None else found.orderBy("id").limit(limit)
 
 
-def vectors_for(vectors: DataFrame, doc_ids: DataFrame, limit: int = FETCH_LIMIT,
+def vectors_for(vectors: DataFrame, doc_ids: DataFrame, limit: int | None = None,
                 namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
-    """Bulk fetch: up to ``limit`` vectors (by id) for each listed document.
+    """Bulk fetch: all vectors of each listed document, or the first ``limit`` by id.
 
-    The per-document limit is a ``row_number`` filter, which Spark plans as a
-    partial ``WindowGroupLimit`` before the shuffle: a hot document sends at
-    most ``limit`` rows per map partition.
+    The limit is a ``row_number`` filter over the ids alone, taken before the
+    join with the listed documents, so Spark cuts it before the shuffle
+    (a partial ``WindowGroupLimit``): a hot document sends at most ``limit``
+    ids per map partition.  The values come by a semi join on the kept ids.
     """
     from pyspark.sql import Window
     ids = doc_ids.select(F.col(doc_ids.columns[0]).cast("string").alias("_doc")).distinct()
-    v = (vectors.where(F.col("namespace") == namespace)
-         .withColumn("_doc", F.col("metadata.document_id"))
-         .join(ids, "_doc", "left_semi"))
+    v = vectors.where(F.col("namespace") == namespace).withColumn("_doc", F.col("metadata.document_id"))
+    if limit is None:
+        return v.join(ids, "_doc", "left_semi").drop("_doc")
     w = Window.partitionBy("_doc").orderBy("id")
-    return (v.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= limit).drop("_rn", "_doc"))
+    first = (v.select("_doc", "id").withColumn("_rn", F.row_number().over(w))
+             .where(F.col("_rn") <= limit).join(ids, "_doc", "left_semi").select("_doc", "id"))
+    return v.join(first, ["_doc", "id"], "left_semi").drop("_doc")
 
 
 def clear_namespace(vectors: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
@@ -131,9 +132,11 @@ def clear_namespace(vectors: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> D
     return vectors.where(F.col("namespace") != F.lit(namespace))
 
 
-def delete_vectors(vectors: DataFrame, doc_ids) -> DataFrame:
-    """Next state without the vectors whose ``metadata.document_id`` is listed."""
+def delete_vectors(vectors: DataFrame, doc_ids, namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
+    """Next state without the vectors of ``namespace`` whose ``metadata.document_id`` is
+    listed; other namespaces keep theirs."""
     from quillsync.operators.store import keys_of
     k = keys_of(vectors.sparkSession, doc_ids, "_doc")
-    return (vectors.withColumn("_doc", F.col("metadata.document_id"))
-            .join(k, "_doc", "left_anti").drop("_doc"))
+    # null (never equal) for vectors of other namespaces
+    doc = F.when(F.col("namespace") == F.lit(namespace), F.col("metadata.document_id"))
+    return vectors.withColumn("_doc", doc).join(k, "_doc", "left_anti").drop("_doc")

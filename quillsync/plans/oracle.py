@@ -12,7 +12,6 @@ from quillsync.functions.text import (
     NON_SPACE_CLASS, SENTENCE_END, SPACE_CODE_POINTS, TITLE_PATTERN, TOKEN_PATTERN)
 from quillsync.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS
 from quillsync.operators.embed import EMBED_DIM
-from quillsync.operators.vectors import FETCH_LIMIT
 from quillsync.plans import catalog as cat
 from quillsync.plans import fixtures as fx
 from quillsync.schemas import DEFAULT_NAMESPACE, DOCX_MIME, GDOC_MIME
@@ -324,9 +323,8 @@ reg("vector_sync", with_(*VEC_BASE, STORE, STORE_DOCS, CHUNK_STORE, EMBEDDED_STO
     + """SELECT 'upserted' AS metric, count(*) AS value FROM store_vectors
   UNION ALL SELECT 'rejected', 0
   UNION ALL SELECT 'store_size', count(*) FROM upserted""")
-reg("vector_fetch", with_(*VEC_BASE, STORE, REQUESTED, REQUESTED_IDS) + f"""SELECT id, document_id FROM (
-  SELECT id, document_id, row_number() OVER (PARTITION BY document_id ORDER BY id) AS rn
-  FROM vector_store WHERE document_id IN (SELECT id FROM requested_ids)) WHERE rn <= {FETCH_LIMIT}""")
+reg("vector_fetch", with_(*VEC_BASE, STORE, REQUESTED, REQUESTED_IDS) + """SELECT id, document_id
+  FROM vector_store WHERE document_id IN (SELECT id FROM requested_ids)""")
 reg("limit_vectors", with_(LABELLED_VECTORS) + f"""SELECT id, document_id FROM (
   SELECT id, document_id, row_number() OVER (PARTITION BY document_id ORDER BY id) AS rn
   FROM labelled_vectors) WHERE rn <= {cat.FETCH_PER_LABEL}""")

@@ -105,7 +105,9 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
     vectors) to that CSV folder once the vectors are written.
     """
     cfg = cfg or SyncConfig()
-    ts = run_ts if run_ts is not None else F.current_timestamp()
+    # one time for the whole run: current_timestamp() would differ from job to job
+    ts = run_ts if run_ts is not None else F.lit(manifest.sparkSession.range(1).select(
+        F.current_timestamp()).first()[0])
     listed = list_source(manifest)
     landed = fetch(manifest, titles, all, cfg.match)
     src = landed_documents(landed)
@@ -150,7 +152,7 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
     valid, vec_rejects = to_vectors(embedded, cfg.namespace, ts)
     base_vectors = vectors
     if cfg.mode == REPLACE:
-        base_vectors = delete_vectors(vectors, touched)
+        base_vectors = delete_vectors(vectors, touched, cfg.namespace)
     next_vectors = upsert(base_vectors, valid)
     if out:
         next_vectors = write_snapshot(next_vectors, out, "vectors", ver)
@@ -168,14 +170,15 @@ def cleanup_ids(store: DataFrame, names) -> DataFrame:
     return ids_by_titles(store, n.select(title_of(F.col("name")).alias("title")))
 
 
-def cleanup(docs: DataFrame, chunks: DataFrame, vectors: DataFrame, names
+def cleanup(docs: DataFrame, chunks: DataFrame, vectors: DataFrame, names,
+            namespace: str = DEFAULT_NAMESPACE
             ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Delete the named documents, their chunks (cascade) and their vectors.
+    """Delete the named documents, their chunks (cascade) and their vectors in ``namespace``.
 
     Returns the three next states and the delete report.
     """
     ids = cleanup_ids(docs, names)
-    report = delete_report(ids, docs, chunks, vectors)
+    report = delete_report(ids, docs, chunks, vectors, namespace)
     docs2, chunks2 = delete_documents(docs, chunks, ids)
-    vectors2 = delete_vectors(vectors, ids.select(F.col("id").alias("_doc")))
+    vectors2 = delete_vectors(vectors, ids.select(F.col("id").alias("_doc")), namespace)
     return docs2, chunks2, vectors2, report

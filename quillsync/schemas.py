@@ -67,9 +67,9 @@ def conform(df: DataFrame, schema: T.StructType, fill_missing: bool = True) -> D
     """Select the schema's columns in order, cast each to its type.
 
     A missing nullable column is filled with null when ``fill_missing``; a
-    missing non-nullable column raises.  Casts that can fail are ``try_cast``
-    so a bad value becomes null instead of failing the job; callers that
-    need to reject such rows compare nulls before and after.
+    missing non-nullable column raises.  A value that cannot be cast, and a
+    null in a non-nullable column, fail the job: a store is written whole or
+    not at all.
     """
     have = {f.name: f for f in df.schema.fields}
     cols = []
@@ -77,7 +77,9 @@ def conform(df: DataFrame, schema: T.StructType, fill_missing: bool = True) -> D
         if field.name in have:
             src = F.col(field.name)
             if have[field.name].dataType != field.dataType:
-                src = src.try_cast(field.dataType)
+                src = src.cast(field.dataType)       # ANSI: raises
+            if not field.nullable and have[field.name].nullable:
+                src = F.coalesce(src, F.raise_error(f"null in column {field.name}").cast(field.dataType))
             cols.append(src.alias(field.name))
         elif fill_missing and field.nullable:
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))

