@@ -438,11 +438,12 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     blocks = rows.mapInArrow(_tokens, _ROW).unionByName(words.where(f"kind = {_COUNTS}"))
     pairs = dealt(blocks, "block").mapInArrow(_pairs(n, n, unigrams.tokens), _ROW).repartition(n, "bucket")
     # read twice: for the counts of counts, then for the scores; Spark keeps one exchange for
-    # both.  The sort comes after the join, as the optimizer drops one before it.
+    # both.  The sort comes after the join, as the optimizer drops one before it; the
+    # key is never null, as a filter on it would make the two exchanges differ.
     order = ("bucket", "kind", "block")
     counted = pairs.sortWithinPartitions(*order).mapInArrow(_count_pairs(unigrams, n), "stats binary") \
-        .agg(F.collect_list("stats").alias("stats")).withColumn("one", F.size("stats") % 1)   # a row a partition
-    scored = pairs.withColumn("one", F.col("bucket") % 1).join(F.broadcast(counted), "one") \
+        .agg(F.collect_list("stats").alias("stats")).withColumn("one", F.xxhash64("stats").bitwiseAND(0))  # a row a partition
+    scored = pairs.withColumn("one", F.xxhash64("bucket").bitwiseAND(0)).join(F.broadcast(counted), "one") \
         .select("bucket", "kind", "block", "payload", "stats").sortWithinPartitions(*order) \
         .mapInArrow(_score_pairs(unigrams, n), _ROW)
     return dealt(scored, "block").mapInArrow(_totals(unigrams), RESULT)
