@@ -23,13 +23,19 @@ doc_id are reported under it once.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsync.session import scratch_dir
+
 WINDOW = 8
 RUN = 6                       # windows at one shift: 13 words
 BROADCAST_WINDOWS = 1_000_000  # 16 bytes each; beyond it the join shuffles
 
+BROADCAST_DOCS = 1_000_000     # 16 bytes each; beyond it the join shuffles
+
 # unit words: fixed values
 UNITS = ("mm cm m km in inch inches ft foot feet yard yards mile miles g kg mg lb lbs pound pounds ounce "
          "ounces ton tons l ml liter liters litre litres gallon gallons s sec second seconds min minute "
@@ -119,6 +125,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         .groupBy("doc", "item_id", (F.col("place") - F.col("at")).alias("shift"), "n") \
         .agg(F.count_distinct("at").alias("hits")) \
         .where((F.col("hits") * 2 >= F.col("n")) | (F.col("hits") >= RUN))
+    # written, as only the documents with an alignment are read again for their slots
+    path = scratch_dir(docs.sparkSession, f"decontam-{uuid.uuid4().hex}")
+    shifts.write.parquet(path)
+    shifts = docs.sparkSession.read.parquet(path)
+    hit = shifts.select("doc").distinct()
+    if hit.count() <= BROADCAST_DOCS:
+        hit = F.broadcast(hit)
+    rows = rows.join(hit, "doc", "left_semi")
     asked = shifts.join(_slots(items, "item_id"), "item_id") \
         .withColumn("place", F.col("place") + F.col("shift"))
     found = asked.join(_slots(_templates(rows, "doc"), "doc").withColumnRenamed("value", "here"),
