@@ -117,11 +117,18 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def embed(chunks: DataFrame, embedder: Callable[[Column], Column] | None = None,
-          text_col: str = "content", run_ts: Column | None = None
-          ) -> tuple[DataFrame, DataFrame]:
-    """Chunks -> (chunks with ``embedding``, rejects for failed embeddings)."""
+          text_col: str = "content", run_ts: Column | None = None,
+          materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Chunks -> (chunks with ``embedding``, rejects for failed embeddings).
+
+    ``materialize=True`` writes the embedded chunks with a reliable checkpoint
+    first, so reading both outputs runs the embedder once."""
     fn = embedder or hashing_embedder()
-    return split_embedded(compute_once(chunks, "embedding", fn(F.col(text_col))), run_ts)
+    out = compute_once(chunks, "embedding", fn(F.col(text_col)))
+    if materialize:
+        from quillsync.session import cut_lineage
+        out = cut_lineage(out)
+    return split_embedded(out, run_ts)
 
 
 def split_embedded(out: DataFrame, run_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:

@@ -52,9 +52,14 @@ def _merge_topk(best: list, S, ids, k: int) -> None:
     kk = min(k, S.shape[1])
     if kk == 0:
         return
-    kth = -np.partition(-S, kk - 1, axis=1)[:, kk - 1]
-    for q in range(S.shape[0]):
-        cand = np.nonzero(S[q] >= kth[q])[0]
+    # a query whose k-th best so far beats the whole block needs no merge
+    floor = np.array([b[-1][0] if len(b) == k else -np.inf for b in best])
+    ask = np.flatnonzero(S.max(axis=1) >= floor)
+    if not len(ask):
+        return
+    kth = np.maximum(-np.partition(-S[ask], kk - 1, axis=1)[:, kk - 1], floor[ask])
+    for q, least in zip(ask, kth):
+        cand = np.nonzero(S[q] >= least)[0]
         merged = best[q] + [(float(S[q, j]), ids[j]) for j in cand]
         merged.sort(key=lambda t: (-t[0], t[1]))
         best[q] = merged[:k]

@@ -47,7 +47,8 @@ def documents_by_titles(store: DataFrame, titles) -> DataFrame:
     """Bulk form of :func:`document_by_title`: every requested title, with its
     first store row's columns (null when the title is unknown)."""
     t = keys_of(store.sparkSession, titles, "title").distinct()
-    return t.join(first_match(store), "title", "left")
+    # only rows with a requested title enter the aggregation
+    return t.join(first_match(store.join(t, "title", "left_semi")), "title", "left")
 
 
 def chunks_of(chunks: DataFrame, doc_id: str) -> DataFrame:

@@ -21,7 +21,7 @@ from quillsync.operators import audit, chunking, embed, matching, retrieval, sto
 from quillsync.plans import fixtures as fx
 from quillsync.plans import sync as pipeline
 from quillsync.schemas import DEFAULT_NAMESPACE, DOCUMENTS, conform
-from quillsync.session import scratch_dir
+from quillsync.session import cut_lineage, scratch_dir
 from quillsync.sources import docx, listing, rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,13 +310,23 @@ def q_embed_chunks(spark, d):
 
 @query("drop_failed_embeddings")
 def q_drop_failed_embeddings(spark, d):
-    ok, bad = embed.embed(fx.chunk_store(spark, d), run_ts=fx.run_ts())
+    ok, bad = embed.embed(fx.chunk_store(spark, d), run_ts=fx.run_ts(), materialize=True)
     return audit.metric_rows({"embedded": audit.count_of(ok), "failed": audit.count_of(bad)})
 
 
+@query("embedding_rejects")
+def q_embedding_rejects(spark, d):
+    """An embedder that fails for one chunk in sixteen."""
+    def failing(text):
+        return F.when(F.substring(F.md5(text), 1, 1) != "0", embed.hashing_embedder()(text))
+
+    _, bad = embed.embed(fx.chunk_store(spark, d), failing, run_ts=fx.run_ts())
+    return bad.select("filename", "error")
+
+
 @query("validate_vectors")
 def q_validate_vectors(spark, d):
-    valid, bad = vectors.to_vectors(_embedded_store(spark, d), run_ts=fx.run_ts())
+    valid, bad = vectors.to_vectors(cut_lineage(_embedded_store(spark, d)), run_ts=fx.run_ts())
     return audit.metric_rows({"valid": audit.count_of(valid), "rejected": audit.count_of(bad)})
 
 
@@ -342,7 +352,8 @@ def q_vector_upsert(spark, d):
 
 @query("vector_sync")
 def q_vector_sync(spark, d):
-    nxt, upserted, bad = vectors.sync_vectors(fx.vector_store(spark, d), _embedded_store(spark, d))
+    nxt, upserted, bad = vectors.sync_vectors(fx.vector_store(spark, d),
+                                              cut_lineage(_embedded_store(spark, d)))
     return audit.metric_rows({"upserted": audit.count_of(upserted),
                               "rejected": audit.count_of(bad),
                               "store_size": audit.count_of(nxt)})
@@ -406,6 +417,15 @@ def q_delete_vectors(spark, d):
     return vectors.delete_vectors(fx.vector_store(spark, d), ids).select("id")
 
 
+@query("delete_vectors_namespaced")
+def q_delete_vectors_namespaced(spark, d):
+    """The same documents in two namespaces; one of them loses vectors."""
+    ids = _cleanup_ids(spark, d).select(F.col("id").alias("_doc"))
+    v = fx.vector_store(spark, d)
+    both = v.unionByName(v.withColumn("namespace", F.lit(fx.SECOND_NS)))
+    return vectors.delete_vectors(both, ids, fx.SECOND_NS).select("namespace", "id")
+
+
 @query("delete_report")
 def q_delete_report(spark, d):
     return audit.delete_report(_cleanup_ids(spark, d), fx.store(spark, d),
@@ -414,8 +434,10 @@ def q_delete_report(spark, d):
 
 @query("cleanup")
 def q_cleanup(spark, d):
+    out = os.path.join(scratch_dir(spark, "cleanup"), uuid.uuid4().hex)
     docs, chunks, vecs, _ = pipeline.cleanup(fx.store(spark, d), fx.chunk_store(spark, d),
-                                             fx.vector_store(spark, d), fx.cleanup_names(spark, d))
+                                             fx.vector_store(spark, d), fx.cleanup_names(spark, d),
+                                             out=out, version=1)
     return (docs.select(F.lit("documents").alias("store"), "id")
             .unionByName(chunks.select(F.lit("chunks").alias("store"), "id"))
             .unionByName(vecs.select(F.lit("vectors").alias("store"), "id")))
@@ -485,6 +507,19 @@ def q_retrieve_context(spark, d):
                       "document_id", "title", _long("chunk_index"))
 
 
+@query("retrieve_stale_context")
+def q_retrieve_stale_context(spark, d):
+    """Hits on the vector store before a sync: those on stale vectors stay, without text."""
+    queries = fx.table(spark, d, "benchmark").select(
+        F.col("item_id").cast("string").alias("query_id"),
+        embed.hashing_embedder()(F.col("text")).alias("values"))
+    hits, bound = retrieval.topk_bounded(fx.vector_store(spark, d), queries, k=CONTEXT_K,
+                                         namespace=DEFAULT_NAMESPACE)
+    ctx = retrieval.context(hits, fx.chunk_store(spark, d), fx.store(spark, d), hits_max_rows=bound)
+    return ctx.select("query_id", F.col("rank").cast("long").alias("rank"), "chunk_id",
+                      F.col("chunk_content").isNull().alias("stale"))
+
+
 @query("search_documents")
 def q_search_documents(spark, d):
     terms = fx.table(spark, d, "benchmark").select(

@@ -38,6 +38,7 @@ EPOCH_2024 = 1704067200          # store rows were created from 2024-01-01 on
 RUN_TS = "2025-01-01 00:00:00"   # the run's timestamp
 OLD_SUFFIX = " Old."             # text the edited documents had before
 LABELLED_NS = "labelled"
+SECOND_NS = "second"
 HTML_MIME = "text/html"
 
 

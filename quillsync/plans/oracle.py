@@ -306,9 +306,13 @@ reg("embed_chunks", with_(*EMB_BASE) + """SELECT id, len(vals) AS dims,
 reg("drop_failed_embeddings", with_(*EMB_BASE) + """SELECT 'embedded' AS metric, count(*) AS value
   FROM store_emb WHERE vals IS NOT NULL
   UNION ALL SELECT 'failed', count(*) FROM store_emb WHERE vals IS NULL""")
+reg("embedding_rejects", with_(LABELLED, STORE, STORE_DOCS, CHUNK_STORE) + """SELECT document_id AS filename,
+  'no_embedding [doc=' || document_id || ' | chunk=' || id || ']' AS error
+  FROM chunk_store WHERE substr(md5(content), 1, 1) = '0'""")
 reg("validate_vectors", with_(*EMB_BASE) + """SELECT 'valid' AS metric, count(*) AS value FROM store_emb
   WHERE vals IS NOT NULL AND len(vals) > 0 AND id IS NOT NULL AND id <> ''
-  UNION ALL SELECT 'rejected', 0""")
+  UNION ALL SELECT 'rejected', count(*) FROM store_emb
+  WHERE vals IS NULL OR len(vals) = 0 OR id IS NULL OR id = ''""")
 VEC_BASE = (LABELLED, CURRENT, VECTOR_STORE)
 reg("project_metadata", with_(*VEC_BASE) + "SELECT id, document_id, chunk_index, token_count FROM vector_store")
 UPSERTED = """upserted AS (
@@ -321,7 +325,7 @@ reg("vector_upsert", with_(*VEC_BASE, STORE, STORE_DOCS, CHUNK_STORE, EMBEDDED_S
 reg("vector_sync", with_(*VEC_BASE, STORE, STORE_DOCS, CHUNK_STORE, EMBEDDED_STORE, STORE_VECTORS,
                          UPSERTED)
     + """SELECT 'upserted' AS metric, count(*) AS value FROM store_vectors
-  UNION ALL SELECT 'rejected', 0
+  UNION ALL SELECT 'rejected', count(*) FROM store_emb WHERE vals IS NULL
   UNION ALL SELECT 'store_size', count(*) FROM upserted""")
 reg("vector_fetch", with_(*VEC_BASE, STORE, REQUESTED, REQUESTED_IDS) + """SELECT id, document_id
   FROM vector_store WHERE document_id IN (SELECT id FROM requested_ids)""")
@@ -342,6 +346,9 @@ reg("delete_chunks", with_(SRC, LABELLED, STORE, MATCHED, STORE_DOCS, CHUNK_STOR
     + "SELECT id FROM chunk_store WHERE document_id NOT IN (SELECT id FROM matched WHERE status = 'changed')")
 reg("delete_vectors", with_(*CL_BASE, CURRENT, VECTOR_STORE)
     + "SELECT id FROM vector_store WHERE document_id NOT IN (SELECT id FROM cleanup_ids)")
+reg("delete_vectors_namespaced", with_(*CL_BASE, CURRENT, VECTOR_STORE) + f"""
+  SELECT namespace, id FROM vector_store
+  UNION ALL SELECT {lit(fx.SECOND_NS)}, id FROM vector_store WHERE document_id NOT IN (SELECT id FROM cleanup_ids)""")
 reg("delete_report", with_(*CL_BASE, STORE_DOCS, CHUNK_STORE, CURRENT, VECTOR_STORE) + """
   SELECT 'ids_found' AS metric, count(DISTINCT id) AS value FROM cleanup_ids
   UNION ALL SELECT 'documents_deleted', count(*) FROM store WHERE id IN (SELECT id FROM cleanup_ids)
@@ -401,6 +408,10 @@ BENCH_SCORES = f"""sc AS (SELECT CAST(q.item_id AS VARCHAR) AS query_id, v.id,
 reg("retrieve_context", with_(*EMB_BASE, STORE_VECTORS, BENCH_Q, BENCH_SCORES) + """
   SELECT t.query_id, t.rank, t.score, t.id AS chunk_id, c.document_id, s.title, c.chunk_index
   FROM top t JOIN chunk_store c ON t.id = c.id LEFT JOIN store s ON c.document_id = s.id""")
+reg("retrieve_stale_context", with_(LABELLED, STORE, STORE_DOCS, CHUNK_STORE, CURRENT, VECTOR_STORE, BENCH_Q,
+                                    BENCH_SCORES.replace("store_vectors v", "vector_store v")) + """
+  SELECT t.query_id, t.rank, t.id AS chunk_id, c.id IS NULL AS stale
+  FROM top t LEFT JOIN chunk_store c ON t.id = c.id""")
 reg("search_documents", f"""WITH terms AS (
     SELECT DISTINCT unnest(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+')) AS term FROM benchmark),
   toks AS (SELECT doc_id, unnest(regexp_extract_all(text, {lit(TOKEN_PATTERN)})) AS term FROM documents),

@@ -27,6 +27,7 @@ from quillsync.operators.store import (APPEND, REPLACE, keys_of, delete_chunks,
                                        ids_by_titles, with_chunk_ids, write_snapshot)
 from quillsync.operators.vectors import delete_vectors, to_vectors, upsert
 from quillsync.schemas import CHUNKS, DEFAULT_NAMESPACE, DOCUMENTS, conform
+from quillsync.session import cut_lineage
 from quillsync.sources.listing import TITLE, fetch, landed_documents, list_source
 from quillsync.sources.rejects import write_rejects
 
@@ -40,8 +41,17 @@ class SyncConfig:
     namespace: str = DEFAULT_NAMESPACE
     match: str = TITLE
     embedder: Callable[[Column], Column] | None = None
+    splitter: Callable[[Column], Column] | None = None
+    counter: Callable[[Column], Column] | None = None
+    sentence_counter: Callable[[Column], Column] | None = None
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
+    def chunks(self, docs: DataFrame) -> DataFrame:
+        """Chunks of ``docs`` (id, content) under these limits and plug-ins."""
+        return make_chunks(docs.select("id", "content"), self.max_tokens, self.overlap,
+                           splitter=self.splitter, counter=self.counter,
+                           sentence_counter=self.sentence_counter)
+
 
 @dataclass
 class SyncResult:
@@ -68,8 +78,7 @@ def process(src: DataFrame, store: DataFrame, cfg: SyncConfig | None = None,
     """Source documents (title, content) + store -> (mapped documents, chunks)."""
     cfg = cfg or SyncConfig()
     m = mapped(drop_blank(src), store, run_ts, cfg.skip_unchanged)
-    chunks = make_chunks(m.select("id", "content"), cfg.max_tokens, cfg.overlap)
-    return m, chunks
+    return m, cfg.chunks(m)
 
 
 def next_documents(store: DataFrame, m: DataFrame, mode: str,
@@ -77,22 +86,18 @@ def next_documents(store: DataFrame, m: DataFrame, mode: str,
     """Document store after a run: new rows inserted; in ``replace`` mode the
     changed rows also get the new content and ``updated_at``.
 
-    One full outer join of the store with the run's new/changed rows (by id),
-    so the mapped set is evaluated once."""
+    An anti join on the touched ids plus a union: the ids of a small run are
+    broadcast and the store is scanned in place.  ``m`` (``mapped``) is read
+    twice, so callers hold it written or persisted."""
     ts = run_ts if run_ts is not None else F.current_timestamp()
-    base = conform(store, DOCUMENTS)
     touched = m.where(F.col("status") == NEW) if mode == APPEND else \
         m.where(F.col("status") != SAME)
-    t = touched.select("id", F.col("title").alias("_title"), F.col("content").alias("_content"),
-                       F.col("status").alias("_status"))
-    j = base.join(t, "id", "full_outer")
-    hit = F.col("_status").isNotNull()
-    return j.select(
-        "id",
-        F.coalesce("title", "_title").alias("title"),
-        F.when(hit, F.col("_content")).otherwise(F.col("content")).alias("content"),
-        F.when(F.col("_status") == NEW, ts).otherwise(F.col("created_at")).alias("created_at"),
-        F.when(hit, ts).otherwise(F.col("updated_at")).alias("updated_at"))
+    rows = touched.select(
+        "id", "title", "content",
+        F.when(F.col("status") == NEW, ts).otherwise(F.col("created_at")).alias("created_at"),
+        ts.alias("updated_at"))
+    kept = conform(store, DOCUMENTS).join(touched.select("id"), "id", "left_anti")
+    return kept.unionByName(conform(rows, DOCUMENTS))
 
 
 def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataFrame,
@@ -120,12 +125,12 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
         # each (recomputed from lineage if an executor is lost)
         m = m.persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(m)
-        new_chunks = make_chunks(m.select("id", "content"), cfg.max_tokens, cfg.overlap)
+        new_chunks = cfg.chunks(m)
 
     if out:
         # the mapped set first: the document store and the chunks read it
         m = write_snapshot(m, out, "mapped", ver)
-        new_chunks = make_chunks(m.select("id", "content"), cfg.max_tokens, cfg.overlap)
+        new_chunks = cfg.chunks(m)
     next_docs = next_documents(docs, m, cfg.mode, ts)
     if out:
         next_docs = write_snapshot(next_docs, out, "documents", ver)
@@ -171,14 +176,24 @@ def cleanup_ids(store: DataFrame, names) -> DataFrame:
 
 
 def cleanup(docs: DataFrame, chunks: DataFrame, vectors: DataFrame, names,
-            namespace: str = DEFAULT_NAMESPACE
+            namespace: str = DEFAULT_NAMESPACE, out: str | None = None,
+            version: str | int | None = None
             ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Delete the named documents, their chunks (cascade) and their vectors in ``namespace``.
 
-    Returns the three next states and the delete report.
+    Returns the three next states and the delete report.  The ids are resolved
+    once, into a reliable checkpoint.  With ``out`` and ``version`` the states
+    are written as snapshots in the order documents -> chunks -> vectors and
+    read back.
     """
-    ids = cleanup_ids(docs, names)
+    if out and version is None:
+        raise ValueError("a written cleanup needs a version")
+    ids = cut_lineage(cleanup_ids(docs, names))
     report = delete_report(ids, docs, chunks, vectors, namespace)
     docs2, chunks2 = delete_documents(docs, chunks, ids)
     vectors2 = delete_vectors(vectors, ids.select(F.col("id").alias("_doc")), namespace)
+    if out:
+        docs2, chunks2, vectors2 = (
+            write_snapshot(df, out, table, version) for df, table in
+            ((docs2, "documents"), (chunks2, "chunks"), (vectors2, "vectors")))
     return docs2, chunks2, vectors2, report
