@@ -121,3 +121,18 @@ def test_sync_appends_rejects_to_the_error_log(spark, scratch):
     back = read_rejects(spark, path)
     assert back.count() == r.rejects.count() > 0
     assert r.vectors.count() + back.count() == r.chunks.count()
+
+
+def test_sync_with_own_splitter_then_written_cleanup(spark, tmp_path):
+    manifest = fx.manifest(spark, SF).where("file_id IN ('doc-1', 'doc-2')") \
+        .withColumn("content", F.lit("one;two;three"))
+    cfg = pipeline.SyncConfig(max_tokens=1, overlap=0, splitter=lambda c: F.split(c, ";"))
+    r = pipeline.sync(manifest, *_empty_stores(spark), all=True, cfg=cfg, run_ts=TS1())
+    assert sorted(x.content for x in r.chunks.collect()) == sorted(["one", "two", "three"] * 2)
+    name = manifest.orderBy("file_id").first().name
+    *stores, report = pipeline.cleanup(r.documents, r.chunks, r.vectors, [name],
+                                       out=str(tmp_path), version=7)
+    assert [df.count() for df in stores] == [1, 3, 3]
+    assert all(os.path.isdir(tmp_path / t / "v=7") for t in ("documents", "chunks", "vectors"))
+    assert {x.metric: x.value for x in report.collect()}["chunks_deleted"] == 3
+    r.unpersist()
