@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 SHINGLE_WORDS = 5
 
 _U = np.uint64
@@ -157,3 +158,14 @@ def local(column, texts_as: str = "text"):
     """``column`` as the working text column, under a fixed name."""
     from pyspark.sql import functions as F
     return F.coalesce(F.col(column).cast("string"), F.lit("")).alias(texts_as)
+
+
+def bounded_batches(spark) -> None:
+    """Lowers the session's limit of bytes in an Arrow batch to ``BATCH_BYTES`` (it is never
+    raised), as every task holds a few batches outside its executor's heap."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().removesuffix("b")
+    shift = {"k": 10, "m": 20, "g": 30}.get(now[-1:], 0)
+    number = now[:-1] if shift else now
+    if not number.isdigit() or int(number) << shift > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
