@@ -4,16 +4,18 @@ Native: DataFrame and SQL functions only.
 
 A text's words (split at white space, outer punctuation removed) become a
 template: numbers ``<num>``, numbers with a unit attached ``<qty>``, unit words
-after a number ``<unit>``, capitalised words inside a sentence ``<name>``, all
+after a number ``<unit>``, capitalised words ``<name>`` wherever they stand, all
 other words lower case.  Windows of ``WINDOW`` template words of every document are
-hash-joined to those of the benchmark.  Matches of one document and item at
-one shift form an alignment; it is kept when it covers half of the item's
-windows, or ``RUN`` of them, and when its slots are consistent: a value that
-the item repeats must have one value in the document wherever both sides have
-a slot of the same type at the same place.
-
-Windows in which less than half of the words are ordinary are not used, as
-they would match by shape alone.  Items that are equal as templates and in
+hash-joined to those of the benchmark, and beside them windows of its literal
+words in lower case, so neither a changed name nor changed case hides a match.
+Matches of one document and item at one shift form an alignment; it is kept when
+it covers half of the item's windows of either kind, or ``RUN`` of both together,
+and when its slots are consistent: a value that the item repeats must have one
+value in the document wherever both sides have a slot of the same type at the
+same place.
+
+Template windows in which less than half of the words are ordinary are not used,
+as they would match by shape alone; literal windows are all used.  Items that are equal as templates and in
 their words are reported under the smallest item_id.  Items with fewer than
 ``WINDOW`` words are matched with documents that are equal to them as a whole.
 
@@ -43,9 +45,10 @@ UNITS = ("mm cm m km in inch inches ft foot feet yard yards mile miles g kg mg l
          "euros cent cents degree degrees meter meters metre metres kilometer kilometers").split()
 _NUMBER = "^[+-]?[0-9][0-9.,:/]*$"
 _QUANTITY = "^[+-]?[0-9][0-9.,:/]*(%|[a-z]{1,3})$"
-_NAME = "^[A-Z][a-z]+$"
+_NUMERIC = "^[+-]?[0-9]"
+_NAME = "^\\p{Lu}[\\p{L}\\p{M}'’.-]*$"
+_POSSESSIVE = "['’]s$"
 _OUTER = "^[^\\p{L}\\p{N}+-]+|[^\\p{L}\\p{N}%]+$"
-_SENTENCE = "[.!?:;][^\\p{L}\\p{N}]*$"
 
 
 def _barrier(df: DataFrame, keep: list[str], **made: Column) -> DataFrame:
@@ -55,28 +58,34 @@ def _barrier(df: DataFrame, keep: list[str], **made: Column) -> DataFrame:
 
 
 def _templates(df: DataFrame, key: str) -> DataFrame:
-    """(key, word, tpl): the words and template words of each row of (key, text)."""
-    raw = _barrier(df.where(F.col(key).isNotNull() & F.col("text").isNotNull()), [key],
-                   raw=F.filter(F.split("text", "[ \\t-\\r]+"), lambda x: x != ""))
-    word = _barrier(raw, [key, "raw"], word=F.transform("raw", lambda x: F.regexp_replace(x, _OUTER, "")))
+    """(key, word, tpl): the words, in lower case, and template words of each row of (key, text)."""
+    raw = F.filter(F.split("text", "[ \\t-\\r]+"), lambda x: x != "")
+    word = _barrier(df.where(F.col(key).isNotNull() & F.col("text").isNotNull()), [key],
+                    word=F.transform(raw, lambda x: F.regexp_replace(x, _OUTER, "")))
 
     def template(x, i):
         before = F.get("word", i - 1)
-        return (F.when(x.rlike(_NUMBER), "<num>").when(x.rlike(_QUANTITY), "<qty>")
+        return (F.when(x.rlike(_NUMERIC), F.when(x.rlike(_NUMBER), "<num>").when(x.rlike(_QUANTITY), "<qty>")
+                       .otherwise(F.lower(x)))
                 .when(F.lower(x).isin(UNITS) & F.coalesce(before.rlike(_NUMBER), F.lit(False)), "<unit>")
-                .when((i > 0) & x.rlike(_NAME) & ~F.coalesce(F.get("raw", i - 1).rlike(_SENTENCE), F.lit(False)),
-                      "<name>")
+                .when(x.rlike(_NAME), "<name>")
                 .otherwise(F.lower(x)))
 
-    return _barrier(word, [key, "word"], tpl=F.transform("word", template))
+    return _barrier(word, [key], word=F.transform("word", F.lower), tpl=F.transform("word", template))
 
 
-def _windows() -> Column:
+def _windows(words: str, width: int = WINDOW) -> Column:
+    """Hashes of every window of the words; none where they are fewer than a window."""
+    n = F.size(words)
+    return F.when(n >= width, F.transform(
+        F.sequence(F.lit(0), n - width), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(width)]))) \
+        .otherwise(F.array().cast("array<bigint>"))
+
+
+def _template_windows() -> Column:
     """Hashes of every window of the column tpl; of the whole where it is shorter."""
     n = F.size("tpl")
-    return F.when(n >= WINDOW, F.transform(
-        F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("tpl", i, WINDOW)))) \
-        .when(n > 0, F.array(F.xxhash64("tpl", F.lit(0)))).otherwise(F.array().cast("array<bigint>"))
+    return F.when((n > 0) & (n < WINDOW), F.array(F.xxhash64("tpl", F.lit(0)))).otherwise(_windows("tpl"))
 
 
 def _is_slot(x: Column) -> Column:
@@ -90,21 +99,42 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
-    """(h, item_id, at, n): usable windows of the items, n of them in an item."""
+    """(h, item_id, at, typed, n, n_typed): windows of the items, by template (typed) and
+    by literal words; an item has n places of windows and n_typed usable templates."""
     n = F.size("tpl")
-    w = items.where(n > 0).select("item_id", "tpl", F.posexplode(_windows()).alias("at", "h")) \
+    typed = items.where(n > 0).select("item_id", "tpl", F.posexplode(_template_windows()).alias("at", "h")) \
         .where(F.size(F.filter(F.slice("tpl", F.col("at") + 1, WINDOW), _is_slot)) * 2
                <= F.least(F.lit(WINDOW), n)) \
-        .select("item_id", "at", "h")
-    total = w.groupBy("item_id").agg(F.count("*").alias("n"))
-    return w.join(total, "item_id").select("h", "item_id", "at", "n")
+        .select("item_id", "at", "h", F.lit(True).alias("typed"))
+    literal = items.select("item_id", F.posexplode(_windows("word")).alias("at", "h")) \
+        .select("item_id", "at", "h", F.lit(False).alias("typed"))
+    w = typed.unionByName(literal)
+    total = w.groupBy("item_id").agg(F.count_distinct("at").alias("n"),
+                                     F.sum(F.col("typed").cast("long")).alias("n_typed"))
+    return w.join(total, "item_id").select("h", "item_id", "at", "typed", "n", "n_typed")
+
+
+def _doc_windows(templates: DataFrame, key: str) -> DataFrame:
+    """(key, place, h): both kinds of windows of the documents."""
+    made = _barrier(templates, [key], typed=_template_windows(), literal=_windows("word"))
+    size = F.size("typed")
+    # one array of numbers: the literal windows follow the templates; where the two are equal, one is enough
+    both = F.concat("typed", F.transform("literal", lambda h, i: F.nullif(h, F.get("typed", i))))
+    return made.select(key, size.alias("size"), F.posexplode(both).alias("place", "h")).where(F.col("h").isNotNull()) \
+        .select(key, F.pmod("place", "size").alias("place"), "h")
 
 
 def _slots(templates: DataFrame, key: str) -> DataFrame:
     """(key, place, kind, value) of every placeholder."""
     return templates.select(key, F.posexplode(F.arrays_zip("tpl", "word")).alias("place", "x")) \
         .where(_is_slot(F.col("x.tpl"))) \
-        .select(key, "place", F.col("x.tpl").alias("kind"), F.lower("x.word").alias("value"))
+        .select(key, "place", F.col("x.tpl").alias("kind"), F.regexp_replace("x.word", _POSSESSIVE, "").alias("value"))
+
+
+def _enough(typed: str | Column, literal: str | Column) -> Column:
+    """Whether the places of matched windows are half of the item's, or ``RUN`` of them."""
+    hits = F.size(F.array_union(typed, literal))
+    return (hits * 2 >= F.col("n")) | ((F.col("n_typed") > 0) & (F.size(typed) * 2 >= F.col("n_typed"))) | (hits >= RUN)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -120,11 +150,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     known = _item_windows(items)
     if known.count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
-    own = _templates(rows, "doc").select("doc", F.posexplode(_windows()).alias("place", "h"))
+    own = _doc_windows(_templates(rows, "doc"), "doc")
     shifts = own.join(known, "h") \
-        .groupBy("doc", "item_id", (F.col("place") - F.col("at")).alias("shift"), "n") \
-        .agg(F.count_distinct("at").alias("hits")) \
-        .where((F.col("hits") * 2 >= F.col("n")) | (F.col("hits") >= RUN))
+        .groupBy("doc", "item_id", (F.col("place") - F.col("at")).alias("shift"), "n", "n_typed") \
+        .agg(F.collect_set(F.when(F.col("typed"), F.col("at"))).alias("typed"),
+             F.collect_set(F.when(~F.col("typed"), F.col("at"))).alias("literal")) \
+        .where(_enough("typed", "literal")) \
+        .withColumn("hits", F.size(F.array_union("typed", "literal")).cast("long"))
     # written, as only the documents with an alignment are read again for their slots
     path = scratch_dir(docs.sparkSession, f"decontam-{uuid.uuid4().hex}")
     shifts.write.parquet(path)

@@ -299,6 +299,19 @@ def test_decontamination_catches_new_parameters(spark):
     assert decontam.contaminated(frame(spark, rows).limit(0), bench).count() == 0
 
 
+def test_decontamination_types_names_wherever_they_stand(spark):
+    tom = ("Tom has 12 red apples. Tom eats 3 apples at noon. Tom buys 15 more at the shop. "
+           "Tom sells 4 of them. How many apples does Tom keep?")
+    clips = ("In spring Natalia's shop sold clips to some of her friends and then half as many clips in May "
+             "to the others there again.")
+    odd = "When José-María met McDonald near the old bridge they both talked about the long rain and went home."
+    items = [(1, tom), (2, clips), (3, odd)]
+    rows = [(1, tom.replace("Tom", "Ann").replace("12", "40")), (2, clips.replace("Natalia's", "Zoe's")),
+            (3, odd.replace("José-María", "Zoë").replace("McDonald", "O'Neill")), (4, tom.lower()), (5, clips.upper())]
+    got = decontam.contaminated(frame(spark, rows), frame(spark, items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (2, 2), (3, 3), (4, 1), (5, 2)}
+
+
 def test_decontamination_finds_all_planted_passages(spark):
     d = small()
     items = pq.read_table(f"{SF}/benchmark.parquet")["text"].to_pylist()
