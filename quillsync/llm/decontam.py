@@ -9,15 +9,19 @@ other words lower case.  Windows of ``WINDOW`` template words of every document
 hash-joined to those of the benchmark, and beside them windows of its literal
 words in lower case, so neither a changed name nor changed case hides a match.
 Matches of one document and item at one shift form an alignment; it is kept when
-it covers half of the item's windows of either kind, or ``RUN`` of both together,
-and when its slots are consistent: a value that the item repeats must have one
-value in the document wherever both sides have a slot of the same type at the
-same place.
+it covers half of the item's windows of either kind, or ``RUN`` of both together.
+Slots are compared at the places of matched windows: a value that the item
+repeats there must have one value in the document wherever both sides have a slot
+of the same type.  Where it has several, the windows over them (of names: over
+the changed ones) do not count, and the alignment is kept when the others are
+enough and at least half of those matched.
 
 Template windows in which less than half of the words are ordinary are not used,
-as they would match by shape alone; literal windows are all used.  Items that are equal as templates and in
-their words are reported under the smallest item_id.  Items with fewer than
-``WINDOW`` words are matched with documents that are equal to them as a whole.
+as they would match by shape alone; literal windows are all used.  Items that are
+equal as templates and in their words are reported under the smallest item_id.  Items with fewer than
+``WINDOW`` words are matched by their literal words at any place of a document
+(an item of one word: by that word), and by template with documents that are
+equal to them as a whole.
 
 Null text, null doc_id or null item_id: no match.  Documents that share a
 doc_id are reported under it once.
@@ -106,7 +110,8 @@ def _item_windows(items: DataFrame) -> DataFrame:
         .where(F.size(F.filter(F.slice("tpl", F.col("at") + 1, WINDOW), _is_slot)) * 2
                <= F.least(F.lit(WINDOW), n)) \
         .select("item_id", "at", "h", F.lit(True).alias("typed"))
-    literal = items.select("item_id", F.posexplode(_windows("word")).alias("at", "h")) \
+    short = F.when(F.size("word").between(1, WINDOW - 1), F.array(F.xxhash64("word"))).otherwise(_windows("word"))
+    literal = items.select("item_id", F.posexplode(short).alias("at", "h")) \
         .select("item_id", "at", "h", F.lit(False).alias("typed"))
     w = typed.unionByName(literal)
     total = w.groupBy("item_id").agg(F.count_distinct("at").alias("n"),
@@ -114,14 +119,23 @@ def _item_windows(items: DataFrame) -> DataFrame:
     return w.join(total, "item_id").select("h", "item_id", "at", "typed", "n", "n_typed")
 
 
-def _doc_windows(templates: DataFrame, key: str) -> DataFrame:
-    """(key, place, h): both kinds of windows of the documents."""
-    made = _barrier(templates, [key], typed=_template_windows(), literal=_windows("word"))
-    size = F.size("typed")
+def _doc_windows(templates: DataFrame, key: str, widths: list[int]) -> DataFrame:
+    """(key, place, h): both kinds of windows of the documents, and literal ones of the
+    widths of short items."""
+    short = {f"w{k}": _windows("word", k) for k in widths}
+    made = _barrier(templates, [key], typed=_template_windows(), literal=_windows("word"), **short)
     # one array of numbers: the literal windows follow the templates; where the two are equal, one is enough
-    both = F.concat("typed", F.transform("literal", lambda h, i: F.nullif(h, F.get("typed", i))))
-    return made.select(key, size.alias("size"), F.posexplode(both).alias("place", "h")).where(F.col("h").isNotNull()) \
-        .select(key, F.pmod("place", "size").alias("place"), "h")
+    parts = [F.col("typed"), F.transform("literal", lambda h, i: F.nullif(h, F.get("typed", i))),
+             *[F.col(k) for k in short]]
+    ends, end = {}, F.lit(0)
+    for k in ("typed", "literal", *short):
+        end = end + F.size(k)
+        ends[f"end_{k}"] = end
+    place = F.col("pos")
+    for k in list(ends)[:-1]:
+        place = F.when(F.col("pos") >= F.col(k), F.col("pos") - F.col(k)).otherwise(place)
+    return made.select(key, *[v.alias(k) for k, v in ends.items()], F.posexplode(F.concat(*parts)).alias("pos", "h")) \
+        .where(F.col("h").isNotNull()).select(key, place.alias("place"), "h")
 
 
 def _slots(templates: DataFrame, key: str) -> DataFrame:
@@ -137,6 +151,11 @@ def _enough(typed: str | Column, literal: str | Column) -> Column:
     return (hits * 2 >= F.col("n")) | ((F.col("n_typed") > 0) & (F.size(typed) * 2 >= F.col("n_typed"))) | (hits >= RUN)
 
 
+def _covered(place: str, ats: str) -> Column:
+    """Whether a window that starts at one of the places has the place in it."""
+    return F.exists(ats, lambda a: F.col(place).between(a, a + (WINDOW - 1)))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots, changed_slots): one row for
@@ -150,7 +169,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     known = _item_windows(items)
     if known.count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
-    own = _doc_windows(_templates(rows, "doc"), "doc")
+    n = F.size("word")
+    widths = sorted(r.n for r in items.where(n.between(1, WINDOW - 1)).select(n.alias("n")).distinct().collect())
+    own = _doc_windows(_templates(rows, "doc"), "doc", widths)
     shifts = own.join(known, "h") \
         .groupBy("doc", "item_id", (F.col("place") - F.col("at")).alias("shift"), "n", "n_typed") \
         .agg(F.collect_set(F.when(F.col("typed"), F.col("at"))).alias("typed"),
@@ -165,17 +186,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if hit.count() <= BROADCAST_DOCS:
         hit = F.broadcast(hit)
     rows = rows.join(hit, "doc", "left_semi")
-    asked = shifts.join(_slots(items, "item_id"), "item_id") \
-        .withColumn("place", F.col("place") + F.col("shift"))
+    asked = shifts.select("doc", "item_id", "shift", F.array_union("typed", "literal").alias("ats")) \
+        .join(_slots(items, "item_id"), "item_id").where(_covered("place", "ats")) \
+        .select("doc", "item_id", "kind", "value", "shift", F.col("place").alias("at"),
+                (F.col("place") + F.col("shift")).alias("place"))
+    odd = F.col("here") != F.col("value")
     found = asked.join(_slots(_templates(rows, "doc"), "doc").withColumnRenamed("value", "here"),
                        ["doc", "place", "kind"]) \
         .groupBy("doc", "item_id", "shift", "kind", "value") \
-        .agg(F.min("here").alias("low"), F.max("here").alias("high")) \
+        .agg((F.min("here") != F.max("here")).alias("broken"), F.max(odd).alias("changed"),
+             F.collect_list(F.when((F.col("kind") != "<name>") | odd, F.col("at"))).alias("at")) \
         .groupBy("doc", "item_id", "shift") \
-        .agg(F.count("*").alias("n_slots"), F.sum((F.col("low") != F.col("high")).cast("long")).alias("broken"),
-             F.sum((F.col("low") != F.col("value")).cast("long")).alias("changed"))
+        .agg(F.count("*").alias("n_slots"), F.sum(F.col("changed").cast("long")).alias("changed"),
+             F.flatten(F.collect_list(F.when(F.col("broken"), F.col("at")))).alias("bad"))
+
+    def left(places: str) -> Column:
+        return F.filter(places, lambda a: ~F.exists(
+            F.coalesce("bad", F.array().cast("array<int>")), lambda b: b.between(a, a + (WINDOW - 1))))
+
     return shifts.join(found, ["doc", "item_id", "shift"], "left") \
-        .where(F.coalesce("broken", F.lit(0)) == 0) \
+        .withColumns({"typed": left("typed"), "literal": left("literal")}) \
+        .withColumns({"before": F.col("hits"), "hits": F.size(F.array_union("typed", "literal")).cast("long")}) \
+        .where(_enough("typed", "literal") & (F.col("hits") * 2 >= F.col("before"))) \
         .groupBy(F.col("doc.id").alias("doc_id"), "item_id") \
         .agg(F.max(F.struct("hits", F.col("n").alias("of"), F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
                             F.coalesce("changed", F.lit(0)).alias("changed"))).alias("best")) \

@@ -312,6 +312,21 @@ def test_decontamination_types_names_wherever_they_stand(spark):
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (2, 2), (3, 3), (4, 1), (5, 2)}
 
 
+def test_decontamination_finds_verbatim_passages(spark):
+    series, short = "12 15 18 21 24 27 30 33 36 39 what comes next", "What is the capital of France?"
+    half = QUESTION[:QUESTION.index(" How many")]
+    names = ("The river was cold when Ann came. The boats lay on the sand near the old wooden pier. "
+             "The wind blew hard all night long.")
+    items = [(1, series), (2, short), (3, QUESTION), (4, names), (5, "Yes")]
+    # at the places of the item's second "Alice" and "12", other values that are no part of a matched window
+    rows = [(1, "we read: " + series + " in a book"), (2, "He asked: what is the capital of France? Nobody knew."),
+            (3, half + " Of all things it was for Mary that he came in 99 nights over"),
+            (4, names.replace("The wind", "A wind")), (5, "and she said yes to all"),
+            (6, QUESTION.replace("12 days", "13 days")), (7, "What is the capital of it and of France")]
+    got = decontam.contaminated(frame(spark, rows), frame(spark, items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(1, 6)}
+
+
 def test_decontamination_finds_all_planted_passages(spark):
     d = small()
     items = pq.read_table(f"{SF}/benchmark.parquet")["text"].to_pylist()
