@@ -7,12 +7,17 @@ when the candidate, decoded, has the structure of a key or signed token:
 * ``token``  three base64url segments whose first decodes to a JSON object with
   an ``alg`` string and whose second decodes to a JSON object;
 * ``pem``    a PEM block of a private key whose body is base64 of DER (or of the
-  OpenSSH container) with consistent nested lengths;
+  OpenSSH container) with consistent nested lengths; its line ends may be escaped
+  (``\\n``) and its lines quoted, commented or indented; also a base64 run that
+  decodes to a text with such a block;
 * ``der``    a base64 or hex run that decodes to a DER SEQUENCE whose nested
   lengths fill it exactly and which starts with a version integer or an
   algorithm identifier;
 * ``ssh``    a base64 run that decodes to length-prefixed SSH key fields.
 
+A base64 run may be wrapped: consecutive lines of equal length and a last one
+that is not longer are also tried as one candidate, with the same line ends.
+
 Spans are [start, end) in code points of the text.  Null text: no spans.
 Texts are scanned whole; candidates of any length are decoded.
 """
@@ -41,7 +46,13 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "token", "pem", "der", "ssh")
 
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]+\.ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+# a line end, real or escaped (also more than once), and what may stand before and after it
+_END = r"""(?:(?<!\\)\\++(?:r(?:\\++n)?|n)|\r\n?|\n)"""
+_MARK = r"""(?:[#*>;|]+|(?://+|--|[+-])(?=[ \t]))"""
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?!-----).)*)-{5,6}END \1-----", re.DOTALL)
+_LINES = re.compile(_END)
+_LEAD = re.compile(r"""(?:\\++t?|[\s"'`])*(?:%s[\s"'`]*)?""" % _MARK)
+_NEXT = re.compile(r"""[ \t"'`,;]*(?:[ \t]\+)?\\?%s[ \t"'`]*(?:%s[ \t"'`]*)?([A-Za-z0-9+/_-]+)(={0,2})""" % (_END, _MARK))
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 _HEX_ANY = re.compile(r"[0-9A-Fa-f]{48,}")
 _OPENSSH = b"openssh-key-v1\0"
@@ -127,6 +138,60 @@ def is_ssh_key(data: bytes) -> bool:
     return len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]{3,60}", fields[0]) is not None
 
 
+def _is_key(data: bytes | None) -> bool:
+    return bool(data) and (is_der_key(data) or is_ssh_key(data))
+
+
+def is_pem_body(body: str) -> bool:
+    """Whether the lines between a block's marks, without quotes and comment marks, are a key."""
+    lines = [re.split("[\"'`]", x[_LEAD.match(x).end():], maxsplit=1)[0].rstrip(" \t,;\\") for x in _LINES.split(body)]
+    lines = ["" if x in ("+", "-", "//") else x for x in lines]
+    # a mark without a blank may be a part of the base64 or not
+    bare = [x[2:] if x.startswith("//") else x[1:] if x[:1] in ("+", "-") else x for x in lines]
+    return any(_is_key(_unbase64(re.sub(r"\s", "", "".join(x)))) for x in (lines, bare))
+
+
+def _kind(data: bytes | None) -> int | None:
+    """The kind of decoded data: a key, or a PEM text of one."""
+    if not data or data[0] not in (0x30, 0x00, 0x6F, 0x2D, 0x0A, 0x0D):
+        return None
+    if data.lstrip().startswith(b"-----BEGIN"):
+        return 4 if any(is_pem_body(m.group(2)) for m in _PEM.finditer(data.decode("latin-1"))) else None
+    return 5 if is_der_key(data) else 6 if is_ssh_key(data) else None
+
+
+def _wanted(line: str, limit: int) -> int | None:
+    """How many base64 characters a key has whose first line this is (``limit`` if its
+    start does not say); None if it is not the start of one."""
+    head = _unbase64(line[:32]) or b""
+    if head[:1] == b"\x30":
+        n = head[1] & 0x7F if head[1] & 0x80 else 0
+        size = 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1])
+        chars = -(-size * 4 // 3)
+        return chars if n <= 4 and chars <= limit else None
+    named = head[:3] == b"\0\0\0" and head[4:7] in (b"ssh", b"ecd", b"sk-")
+    return limit if named or head.startswith(_OPENSSH) or head.lstrip().startswith(b"-----BEGIN") else None
+
+
+def _wrapped(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """(kind, end) of the key whose first line is text[start:end] and which goes on in the next lines."""
+    wanted = _wanted(text[start:end], len(text) - start)
+    if wanted is None or "=" in text[start:end]:
+        return None
+    lines, ends, width, size = [text[start:end]], [end], end - start, end - start
+    while size < wanted and (m := _NEXT.match(text, ends[-1])):
+        lines.append(m.group(1))
+        ends.append(m.end())
+        size += len(m.group(1))
+        if m.group(2) or (wanted == len(text) - start and len(m.group(1)) < width):
+            break
+    for n in range(len(lines), max(1, len(lines) - 2), -1):    # the last may be no part of it
+        kind = _kind(_unbase64("".join(lines[:n])))
+        if kind:
+            return kind, ends[n - 1]
+    return None
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the base kinds, by start and then kind."""
     # a failing assignment still uses up its characters, so its length is tested after the match
@@ -141,8 +206,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     found = [(m.start(), 3, m.end()) for m in _TOKEN.finditer(text) if is_signed_token(m.group())]
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            data = _unbase64(re.sub(r"\s", "", m.group(2)))
-            if data and (is_der_key(data) or is_ssh_key(data)):
+            if is_pem_body(m.group(2)):
                 found.append((m.start(), 4, m.end()))
     taken = [(s, e) for s, k, e in found]
     seen = set()
@@ -150,13 +214,18 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
         for m in pattern.finditer(text):
             if m.span() in seen or any(s <= m.start() and m.end() <= e for s, e in taken):
                 continue
-            data = decode(m.group())
-            if not data or data[0] not in (0x30, 0x00, 0x6F):
-                continue
-            kind = 5 if is_der_key(data) else 6 if is_ssh_key(data) else None
-            if kind:
-                seen.add(m.span())
-                found.append((m.start(), kind, m.end()))
+            # the letter of an escape (\\n) before the run is no part of it
+            escaped = m.start() and text[m.start() - 1] == "\\" and text[m.start()] in "nrt"
+            for start in (m.start(), m.start() + 1)[:2 if escaped else 1]:
+                kind, end = _kind(decode(text[start:m.end()])), m.end()
+                if not kind and decode is _unbase64:
+                    kind, end = _wrapped(text, start, end) or (None, end)
+                    if kind:
+                        taken.append((start, end))
+                if kind:
+                    seen.add(m.span())
+                    found.append((start, kind, end))
+                    break
     return found
 
 

@@ -367,6 +367,39 @@ def test_secret_spans_base_and_confirmed(spark):
     assert clean[3].text is None and clean[3].n_chars == 0
 
 
+def test_secret_spans_of_keys_as_they_leak():
+    import base64
+    import textwrap
+    rng = np.random.default_rng(7)
+    der = b"\x30\x82\x02\x0d\x02\x01\x00\x02\x82\x02\x06" + rng.bytes(518)
+    assert secret_scan.is_der_key(der)
+    lines = textwrap.wrap(base64.b64encode(der).decode(), 64)
+    begin, end = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    pem = "\n".join([begin, *lines, end])
+    coded = base64.b64encode(pem.encode() + b"\n").decode()
+    # text before, the span, its kind, text after
+    cases = [('{"private_key": "', json.dumps(pem)[1:-1], "pem", '\\n", "x": 1}'),
+             ("KEY='", pem.replace("\n", "\\n"), "pem", "'"),
+             ('{"a": "', json.dumps(json.dumps(pem)[1:-1])[1:-1], "pem", '"}'),
+             ("", pem.replace("\n", "\r\n"), "pem", ""),
+             ("# ", pem.replace("\n", "\n# "), "pem", "\n# end"),
+             ("// ", pem.replace("\n", "\n// "), "pem", ""),
+             ("+", pem.replace("\n", "\n+"), "pem", ""),
+             ('x = "', pem.replace("\n", '\\n" +\n    "'), "pem", '"'),
+             ("  tls.key: ", coded, "pem", "\nkind: Secret"),
+             ("  tls.key: |\n    ", "\n    ".join(textwrap.wrap(coded, 76)), "pem", "\nkind: Secret"),
+             ("der:\n", "\n".join(lines), "der", "\nand so on"),
+             ('k = "', "\\n".join(lines), "der", '\\n"'),
+             ('k = "\\n', lines[0] + "\\n" + "\\n".join(lines[1:]), "der", '"')]
+    for before, span, kind, after in cases:
+        text = before + span + after
+        found = [(secret_scan.KINDS[k], s, e) for s, k, e in secret_scan.confirmed_spans(text)]
+        assert found == [(kind, len(before), len(before) + len(span))], text
+        assert span[40:80] not in secret_scan.redacted(text)
+    other = "\n".join(textwrap.wrap(base64.b64encode(b"\x30" + rng.bytes(9000)).decode(), 64))
+    assert not secret_scan.confirmed_spans(other + "\n" + begin + "\n" + other + "\n" + end)
+
+
 # --- 8 quality ----------------------------------------------------------------
 
 def test_pairwise_sum_equals_the_double_loop():
