@@ -33,3 +33,20 @@ def test_stages_take_effect(spark, tmp_path):
     assert not any(x in t for t in clean.values() for x in items)
     assert set(safe) == set(clean) and not any(secret_scan.base_spans(t) for t in safe.values())
     assert {r.doc_id for r in docs.select("doc_id").distinct().collect()} == set(safe)
+
+
+def test_stages_act_by_row(spark, tmp_path):
+    item = pq.read_table(f"{SF}/benchmark.parquet")["text"].to_pylist()[0]
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcde"}
+    rows = [(1, texts["a"]), (1, texts["b"]), (2, texts["a"]), (1, texts["a"]), (None, texts["c"]), (None, texts["c"]),
+            (None, texts["d"]), (3, texts["d"]), (4, texts["e"]), (4, "so it said: " + item), (None, item + " it was")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    once = [(1, texts["a"]), (1, texts["b"]), (None, texts["c"]), (3, texts["d"]), *rows[8:]]
+    got = corpus_pipeline.jaccard_stage(spark, docs, SF)
+    # the two rows with the item are near copies of each other; one of them is left
+    assert sorted(map(str, got.where(~got.text.contains(item)).collect())) == sorted(
+        map(str, docs.sparkSession.createDataFrame(once[:5], docs.schema).collect()))
+    clean = corpus_pipeline.decontam_stage(spark, docs, SF).collect()
+    assert sorted(map(str, clean)) == sorted(
+        map(str, docs.sparkSession.createDataFrame(rows[:9], docs.schema).collect()))
