@@ -320,7 +320,7 @@ def test_decontamination_finds_verbatim_passages(spark):
     items = [(1, series), (2, short), (3, QUESTION), (4, names), (5, "Yes")]
     # at the places of the item's second "Alice" and "12", other values that are no part of a matched window
     rows = [(1, "we read: " + series + " in a book"), (2, "He asked: what is the capital of France? Nobody knew."),
-            (3, half + " Of all things it was for Mary that he came in 99 nights over"),
+            (3, half + " Of all things it Mary was for 99 nights over"),
             (4, names.replace("The wind", "A wind")), (5, "and she said yes to all"),
             (6, QUESTION.replace("12 days", "13 days")), (7, "What is the capital of it and of France")]
     got = decontam.contaminated(frame(spark, rows), frame(spark, items, "item_id long, text string")).collect()
