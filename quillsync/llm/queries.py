@@ -97,6 +97,12 @@ def op10_chat(spark, d):
     return chat.read_back(chat.formatted(turns))
 
 
+@query
+def op12_periodic_runs(spark, d):
+    from quillsync.llm import periodic
+    return periodic.digests(periodic.runs(periodic.planted(_table(spark, d, "documents")), "id"))
+
+
 def _sql():
     from quillsync.llm import licences
     SQL["op2_licences"] = licences.oracle_sql()

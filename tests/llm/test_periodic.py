@@ -1,0 +1,130 @@
+"""Periodic runs against a plain search over all stretches and periods."""
+
+import hashlib
+import random
+import re
+import time
+import zlib
+
+import pyarrow.parquet as pq
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quillsync.llm import periodic
+from quillsync.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_runs(words):
+    """Every maximal stretch of every lag; kept where no smaller lag has it too."""
+    found = {}
+    n = len(words)
+    for q in range(1, n // 3 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            s = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            if i + q - s >= max(24, 3 * q) and (s, i + q) not in found:
+                found[s, i + q] = q
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def plain_row(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = plain_runs(words)
+    drop = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = (None,) * 4
+    for s, length, q in runs:
+        if best[0] is None or length * best[2] > best[1] * q:
+            best = (s, length, q, 1000 * length // q)
+    sha = [hashlib.sha256(t.encode()).hexdigest() for t in (
+        "".join(f"{s},{length},{q}\n" for s, length, q in runs),
+        " ".join(w for i, w in enumerate(words) if i not in drop))]
+    return (doc_id, len(runs), *best, *sha)
+
+
+def repetitive(rng):
+    """Words of few kinds with planted repetitions, so that runs overlap and nest."""
+    out = []
+    for _ in range(rng.randint(1, 6)):
+        unit = [rng.choice("abcdefgh"[:rng.randint(1, 8)]) for _ in range(rng.randint(1, 20))]
+        unit = unit * rng.randint(1, 3) + unit[:rng.randint(0, 5)]
+        out += unit * rng.randint(1, 12) + [rng.choice("abcxyz") for _ in range(rng.randint(0, 9))]
+    return out
+
+
+def test_runs_as_by_search():
+    rng = random.Random(1)
+    for _ in range(400):
+        words = repetitive(rng)
+        assert periodic.runs_of(words) == plain_runs(words), words
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("ab"), max_size=140))
+def test_runs_of_two_words(words):
+    assert periodic.runs_of(words) == plain_runs(words)
+
+
+def test_bounds_of_a_run():
+    other = [f"x{i}" for i in range(30)]
+    for q in (1, 2, 7, 8, 9, 20):
+        unit = [f"u{i}" for i in range(q)]
+        need = max(24, 3 * q)
+        for more in (-1, 0, 1):
+            words = other + [unit[i % q] for i in range(need + more)] + ["y"] + other
+            assert periodic.runs_of(words) == ([(30, need + more, q)] if more >= 0 else [])
+
+
+def test_query_as_by_search(spark):
+    got = QUERIES["op12_periodic_runs"](spark, SF)
+    docs = pq.read_table(f"{SF}/documents.parquet").to_pydict()
+    # texts of up to 3,000 words, so that the plain search ends; the query itself takes all
+    want = [plain_row(i, t) for i, t in zip(docs["doc_id"], docs["text"]) if len(t.split()) <= 3000]
+    assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+                           "collapsed_sha256"]
+    rows = {r.doc_id: tuple(r) for r in got.collect()}
+    assert len(rows) == len(docs["doc_id"]) and len(want) > 150
+    assert [rows[w[0]] for w in want] == want
+    assert sum(w[1] for w in want) > 5
+
+
+def test_odd_rows(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0][:6]
+    texts = [None, "", " \t\n", "a", "a b c d", "é\x85É \x1c " * 40]
+    rows = list(zip(ids, texts)) + [(None, "b a " * 30), (None, None), (7, "w " * 50), (7, "w " * 50)]
+    docs = spark.createDataFrame([(i, t, "x", [1]) for i, t in rows],
+                                 "doc_id long, text string, id string, runs array<int>")
+    got = periodic.digests(periodic.runs(periodic.planted(docs), "id"))
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(str(plain_row(*r)) for r in rows)
+    assert periodic.runs(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("words", [
+    ["w"] * 200_000,
+    [str(i % 60_000) for i in range(200_000)],
+    [str(random.Random(i // 7).randrange(50)) for i in range(200_000)],
+    # each piece of 23 words goes only once its neighbour has gone
+    [w for i in range(8000) for w in [f"p{i}", f"p{i + 1}", *["z"] * 21, f"p{i + 1}"]],
+], ids=["one word", "one long period", "few words", "peeling"])
+def test_long_texts_end(words):
+    began = time.time()
+    runs = periodic.runs_of(words)
+    assert time.time() - began < 10
+    if len(set(words)) == 1:
+        assert runs == [(0, len(words), 1)]
+    if len(set(words)) == 60_000:
+        assert runs == [(0, len(words), 60_000)]
