@@ -16,5 +16,9 @@ named ones are ignored (so extra columns may have any name).
 * ``secret_scan`` secret spans with structural confirmation
 * ``quality``    factorisation machine over hashed words and structure
 * ``sketch``     bottom-k fingerprints
+* ``lattice``    integer vectors in bounded blocks
+* ``threshold_topk`` exact top-k search with a uniform threshold
+* ``hard_negatives`` negatives from lists that clusters of anchors share
+* ``periodic``   periodic runs of words
 * ``chat``       schema fingerprints, canonical turns, chat template
 """

@@ -97,15 +97,54 @@ def op10_chat(spark, d):
     return chat.read_back(chat.formatted(turns))
 
 
+@query
+def op11_topk(spark, d):
+    from quillsync.llm import threshold_topk
+    rows = _table(spark, d, "embeddings")
+    return threshold_topk.topk(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
 @query
 def op12_periodic_runs(spark, d):
     from quillsync.llm import periodic
     return periodic.digests(periodic.runs(periodic.planted(_table(spark, d, "documents")), "id"))
 
 
+@query
+def op13_hard_negatives(spark, d):
+    from quillsync.llm import hard_negatives
+    rows = _table(spark, d, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, label=label)
+
+
 def _sql():
     from quillsync.llm import licences
     SQL["op2_licences"] = licences.oracle_sql()
+    # vectors without a null or non-finite component, on the integer lattice
+    lattice = """SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+    SQL["op11_topk"] = f"""WITH r AS ({lattice}),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+              FROM r q JOIN r c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5"""
+    SQL["op13_hard_negatives"] = f"""WITH r AS (
+            SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+            FROM ({lattice}) WHERE label IS NOT NULL),
+        s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                     CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+              FROM r a JOIN r c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+              FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+               AND 100 * s.score BETWEEN 30 * positive_score AND 90 * positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 10"""
 
 
 _sql()
