@@ -15,10 +15,13 @@ Either way a final ``row_number`` keeps the global top ``k`` from at most
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillsync.functions.predicates import predicate
+
 SCORE_DECIMALS = 6
 VECTORS_PER_BLOCK = 50_000
 QUERIES_PER_BLOCK = 1_024
@@ -116,7 +119,7 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, **kw) -> DataFrame:
 
 
 def topk_bounded(vectors: DataFrame, queries: DataFrame, k: int = 5,
-                 namespace: str | None = None,
+                 namespace: str | None = None, where: Mapping | None = None,
                  vectors_per_block: int = VECTORS_PER_BLOCK,
                  queries_per_block: int = QUERIES_PER_BLOCK,
                  broadcast_max: int = BROADCAST_QUERIES_MAX) -> tuple[DataFrame, int]:
@@ -132,12 +135,17 @@ def topk_bounded(vectors: DataFrame, queries: DataFrame, k: int = 5,
     its own top ``k`` per query; vectors are never shuffled.  A larger query
     set is joined block-wise: vectors hashed into ``bv`` blocks, queries into
     ``bq`` blocks, one cogroup per block pair.
+
+    ``where``: a predicate on the metadata (:mod:`quillsync.functions.predicates`), taken
+    into the scan of the vectors, below the scoring.
     """
     from quillsync.session import ship_package
     ship_package(vectors.sparkSession)
     v = vectors
     if namespace is not None:
         v = v.where(F.col("namespace") == F.lit(namespace))
+    if where is not None:
+        v = v.where(predicate(where, vectors.schema, "metadata"))
     v = v.select(F.col("id").cast("string").alias("id"), F.col("values"))
     q = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("values"))
     n_q = q.count()
@@ -207,15 +215,19 @@ def context(hits: DataFrame, chunks: DataFrame, docs: DataFrame,
 
 
 def search(docs: DataFrame, terms, id_col: str = "id",
-           text_col: str = "content", ignore_case: bool = False) -> DataFrame:
+           text_col: str = "content", ignore_case: bool = False, where: Mapping | None = None) -> DataFrame:
     """Term search: ``(document id, term, hits)`` for every listed term a document holds.
 
+    ``where``: a predicate on the documents' other columns, taken into their scan.
+
     Documents are tokenised with the token pattern (lower-cased, with the
     terms, when ``ignore_case``); the term list is
     broadcast when its row count is within ``TERMS_BROADCAST_MAX`` (checked),
     otherwise it is a normal join and AQE plans it.
     """
     from quillsync.functions.text import TOKEN_PATTERN
+    if where is not None:
+        docs = docs.where(predicate(where, docs.schema))
     if not isinstance(terms, DataFrame):
         terms = docs.sparkSession.createDataFrame([(x,) for x in terms], "term string")
     t = terms.select(F.col(terms.columns[0]).cast("string").alias("term"))

@@ -1,0 +1,188 @@
+"""Metadata predicates, posting lists, ranked and phrase search against plain loops."""
+
+import math
+import re
+from collections import Counter, defaultdict
+
+import pyarrow.parquet as pq
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+from quillsync.functions.predicates import pinned, predicate
+from quillsync.operators import postings
+from quillsync.operators.bucketed import Stores
+from quillsync.schemas import VECTORS
+
+SF = "/root/testdata/sf0.001"
+TOKEN = regex.compile(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s\x1c-\x1f\x85]")
+
+
+def tokens(text):
+    return TOKEN.findall((text or "").lower())
+
+
+def corpus():
+    t = pq.read_table(f"{SF}/documents.parquet").to_pydict()
+    return [(str(i), x) for i, x in zip(t["doc_id"], t["text"])]
+
+
+def bm25(docs, queries):
+    toks = {i: tokens(t) for i, t in docs}
+    mean = sum(map(len, toks.values())) / len(toks)
+    df = Counter(t for ts in toks.values() for t in set(ts))
+    out = {}
+    for q, text in queries:
+        for i, ts in toks.items():
+            tf = Counter(ts)
+            hits = [t for t in set(tokens(text)) if tf[t]]
+            if hits:
+                out[q, i] = (len(hits), sum(
+                    math.log(1 + (len(docs) - df[t] + 0.5) / (df[t] + 0.5)) * tf[t] * 2.2
+                    / (tf[t] + 1.2 * (0.25 + 0.75 * len(ts) / mean)) for t in hits))
+    return out
+
+
+QUERIES = [("q1", "the red house"), ("q2", "Time, and people."), ("q3", "qqq zzz"), ("q4", ""), ("q5", "a a a der")]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), "id string, content string")
+
+
+@pytest.fixture(scope="module")
+def queries(spark):
+    return spark.createDataFrame(QUERIES, "query_id string, text string")
+
+
+def size_of(docs):
+    return postings.corpus_size(docs.withColumn("n_tokens", F.size(postings.terms_of("content"))))
+
+
+def test_postings_hold_every_position(docs):
+    rows = postings.postings_of(docs).withColumn("at", postings.positions("gaps")).collect()
+    got = defaultdict(dict)
+    for r in rows:
+        assert r.tf == len(r.at) and r.slot.endswith(":" + r.term)
+        got[r.document_id][r.term] = r.at
+    for i, text in corpus():
+        want = defaultdict(list)
+        for p, t in enumerate(tokens(text)):
+            want[t].append(p)
+        assert got[i] == want
+
+
+def test_ranked_search_as_by_loops(docs, queries):
+    want = bm25(corpus(), QUERIES)
+    got = postings.search(postings.postings_of(docs), queries, size_of(docs), k=None).collect()
+    assert {(r.query_id, r.document_id) for r in got} == set(want) and len(want) > 100
+    for r in got:
+        hits, score = want[r.query_id, r.document_id]
+        assert r.matched_terms == hits and abs(r.score - score) < 2e-6
+    top = postings.search(postings.postings_of(docs), queries, size_of(docs), k=3).collect()
+    assert sorted(map(tuple, top)) == sorted(tuple(r) for r in got if r.rank <= 3)
+    both = postings.search(postings.postings_of(docs), queries, size_of(docs), k=None, every_term=True).collect()
+    assert {(r.query_id, r.document_id) for r in both} == {
+        k for k, (n, _) in want.items() if n == len(set(tokens(dict(QUERIES)[k[0]])))}
+
+
+def test_search_within_a_predicate(spark, docs, queries):
+    only = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").select("doc_id")
+    ids = {str(r.doc_id) for r in only.collect()}
+    full = postings.search(postings.postings_of(docs), queries, size_of(docs), k=None).collect()
+    got = postings.search(postings.postings_of(docs), queries, size_of(docs), k=None, only=only).collect()
+    assert {(r.query_id, r.document_id, r.score) for r in got} == {
+        (r.query_id, r.document_id, r.score) for r in full if r.document_id in ids}
+
+
+def test_phrases_as_by_loops(spark, docs):
+    words = tokens(corpus()[3][1])
+    asked = [("p1", " ".join(words[5:8])), ("p2", " ".join(words[:2])), ("p3", "no such phrase"), ("p4", words[9]),
+             ("p5", "a a a")]
+    rows = corpus() + [("x", "A a, a a a a"), ("y", None), ("z", "")]
+    found = postings.phrases(postings.postings_of(spark.createDataFrame(rows, "id string, content string")),
+                             spark.createDataFrame(asked, "query_id string, text string")).collect()
+    want = {}
+    for q, text in asked:
+        t = tokens(text)
+        for i, content in rows:
+            ts = tokens(content)
+            n = sum(ts[j:j + len(t)] == t for j in range(len(ts)))
+            if n:
+                want[q, i] = n
+    assert {(r.query_id, r.document_id): r.hits for r in found} == want and len(want) > 5
+
+
+def test_one_document_touches_its_terms_only(spark, scratch, docs, queries):
+    stores = Stores(spark, scratch, [postings.table(buckets=512)])
+    txn = stores.begin()
+    txn.replace("postings", postings.postings_of(docs))
+    txn.commit()
+    old = next((i, t) for i, t in corpus() if 20 < len(t.split()) < 60)
+    new = (old[0], "the red house " + old[1].split()[0])
+    before = stores.manifest()["tables"]["postings"]
+    txn = stores.begin()
+    one = lambda row: spark.createDataFrame([row], "id string, content string")
+    txn.replace("postings", postings.postings_of(one(new)), postings.keys_of(one(old)), postings.KEY)
+    txn.commit()
+    after = stores.manifest()["tables"]["postings"]
+    changed = {b for b in set(before) | set(after) if before.get(b) != after.get(b)}
+    assert 0 < len(changed) <= len(set(tokens(old[1])) | set(tokens(new[1]))) < 512
+    now = spark.createDataFrame([r if r[0] != old[0] else new for r in corpus()], "id string, content string")
+    want = postings.search(postings.postings_of(now), queries, size_of(now), k=10).collect()
+    assert sorted(map(tuple, postings.search(stores, queries, size_of(now), k=10).collect())) == sorted(map(tuple, want))
+    # the search reads the buckets of its terms by path
+    read = postings.lists_of(stores, queries.select(F.explode(postings.terms_of("text")).alias("term")))
+    parts = {re.search(r"bucket=(\d+)", f)[1] for f in read.inputFiles()}
+    assert 0 < len(parts) <= 8 * len({t for _, q in QUERIES for t in tokens(q)}) < len(after)
+
+
+# --- predicates -----------------------------------------------------------------
+
+ROWS = [("n", "v1", [1.0], ("d1", 0, 5)), ("n", "v2", [1.0], ("d1", 3, None)), ("n", "v3", [1.0], (None, 7, 9)),
+        ("n", "v4", [1.0], ("d2", None, 5))]
+
+
+@pytest.mark.parametrize("spec, want", [
+    ({"document_id": "d1"}, "v1 v2"),
+    ({"chunk_index": {"$gte": 3, "$lt": 7}}, "v2"),
+    ({"token_count": {"$ne": 5}}, "v2 v3"),
+    ({"document_id": {"$nin": ["d1"]}}, "v3 v4"),
+    ({"document_id": {"$in": ["d2", "d3"]}, "token_count": {"$lte": 5}}, "v4"),
+    ({"chunk_index": {"$exists": False}}, "v4"),
+    ({"$or": [{"document_id": "d2"}, {"chunk_index": {"$gt": 6}}]}, "v3 v4"),
+    ({"$not": {"document_id": "d1"}}, "v3 v4"),
+    ({"$and": [{"$not": {"chunk_index": 0}}, {"token_count": {"$exists": True}}]}, "v3 v4"),
+    ({}, "v1 v2 v3 v4"),
+])
+def test_predicates(spark, spec, want):
+    df = spark.createDataFrame(ROWS, VECTORS)
+    got = df.where(predicate(spec, VECTORS, "metadata"))
+    assert sorted(r.id for r in got.collect()) == want.split()
+
+
+@pytest.mark.parametrize("spec, error", [
+    ({"nothing": 1}, ValueError), ({"chunk_index": "1"}, TypeError), ({"chunk_index": True}, TypeError),
+    ({"document_id": {"$like": "x"}}, ValueError), ({"$xor": []}, ValueError), ({"$or": []}, TypeError),
+    ({"document_id": {"$in": []}}, TypeError), ({"document_id": None}, TypeError), ([], TypeError),
+])
+def test_wrong_predicates_raise(spec, error):
+    with pytest.raises(error):
+        predicate(spec, VECTORS, "metadata")
+
+
+def test_pinned_values():
+    assert pinned({"a": 1}, "a") == [1] and pinned({"b": 1}, "a") is None
+    assert pinned({"a": {"$in": [1, 2]}, "$and": [{"a": {"$in": [2, 3]}}]}, "a") == [2]
+    assert pinned({"$or": [{"a": 1}, {"a": 3}]}, "a") == [1, 3]
+    assert pinned({"$or": [{"a": 1}, {"b": 3}]}, "a") is None and pinned({"$not": {"a": 1}}, "a") is None
+
+
+def test_predicates_reach_the_scan(spark, scratch):
+    spark.createDataFrame(ROWS, VECTORS).write.parquet(f"{scratch}/v")
+    for spec, want in (({"document_id": "d1"}, "EqualTo(metadata.document_id,d1)"),
+                       ({"chunk_index": {"$gte": 3}}, "GreaterThanOrEqual(metadata.chunk_index,3)")):
+        got = spark.read.parquet(f"{scratch}/v").where(predicate(spec, VECTORS, "metadata")).select("id")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert want in plan[plan.index("PushedFilters"):]
