@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from quillsync.functions.text import (
     docx_name, is_blank, join_paragraphs, paragraphs, sentences, title_of, token_count)
-from quillsync.operators import audit, chunking, embed, matching, retrieval, store, vectors
+from quillsync.operators import audit, chunking, embed, matching, postings, retrieval, store, vectors
 from quillsync.plans import fixtures as fx
+from quillsync.plans import incremental
 from quillsync.plans import sync as pipeline
 from quillsync.schemas import DEFAULT_NAMESPACE, DOCUMENTS, conform
 from quillsync.session import cut_lineage, scratch_dir
@@ -31,6 +32,11 @@ TOPK = 5
 CONTEXT_K = 3
 SMALL_MAX, SMALL_OVERLAP = 40, 10     # second packing configuration
 FETCH_PER_LABEL = 10
+SEARCH_K = 10
+QUERY_EVERY = 20                      # similarity queries: rows whose vec_id is divisible by this
+VECTOR_FILTER = {"document_id": {"$in": ["label-1", "label-3", "label-8"]},
+                 "$or": [{"chunk_index": {"$lt": 200}}, {"chunk_index": {"$gte": 300}}]}
+DOCUMENT_FILTER = {"lang": {"$in": ["en", "de"]}, "$not": {"n_chars": {"$gt": 20000}}}
 
 
 def query(name: str):
@@ -222,13 +228,13 @@ def q_chunk_index(spark, d):
 
 @query("project_chunk")
 def q_project_chunk(spark, d):
-    c = chunking.make_chunks(fx.store(spark, d).select("id", "content"))
+    c = chunking.make_chunks(fx.store(spark, d, whole=True).select("id", "content"))
     return c.select("document_id", _long("chunk_index"), "content", _long("token_count"))
 
 
 @query("chunks_per_document")
 def q_chunks_per_document(spark, d):
-    return audit.chunks_per_document(fx.chunk_store(spark, d)).select(
+    return audit.chunks_per_document(fx.chunk_store(spark, d, whole=True)).select(
         "document_id", _long("chunks"))
 
 
@@ -287,15 +293,15 @@ def q_read_chunks_by_document(spark, d):
 @query("order_chunks")
 def q_order_chunks(spark, d):
     w = Window.partitionBy("document_id").orderBy("chunk_index")
-    c = fx.chunk_store(spark, d).orderBy("document_id", "chunk_index")
+    c = fx.chunk_store(spark, d, whole=True).orderBy("document_id", "chunk_index")
     return c.select("document_id", _long("chunk_index"),
                     F.lag("chunk_index").over(w).cast("long").alias("prev_index"))
 
 
 # --- embeddings and vectors --------------------------------------------------
 
-def _embedded_store(spark, d):
-    e, _ = embed.embed(fx.chunk_store(spark, d), run_ts=fx.run_ts())
+def _embedded_store(spark, d, whole=True):
+    e, _ = embed.embed(fx.chunk_store(spark, d, whole), run_ts=fx.run_ts())
     return e
 
 
@@ -310,7 +316,7 @@ def q_embed_chunks(spark, d):
 
 @query("drop_failed_embeddings")
 def q_drop_failed_embeddings(spark, d):
-    ok, bad = embed.embed(fx.chunk_store(spark, d), run_ts=fx.run_ts(), materialize=True)
+    ok, bad = embed.embed(fx.chunk_store(spark, d, whole=True), run_ts=fx.run_ts(), materialize=True)
     return audit.metric_rows({"embedded": audit.count_of(ok), "failed": audit.count_of(bad)})
 
 
@@ -320,7 +326,7 @@ def q_embedding_rejects(spark, d):
     def failing(text):
         return F.when(F.substring(F.md5(text), 1, 1) != "0", embed.hashing_embedder()(text))
 
-    _, bad = embed.embed(fx.chunk_store(spark, d), failing, run_ts=fx.run_ts())
+    _, bad = embed.embed(fx.chunk_store(spark, d, whole=True), failing, run_ts=fx.run_ts())
     return bad.select("filename", "error")
 
 
@@ -332,20 +338,20 @@ def q_validate_vectors(spark, d):
 
 @query("project_metadata")
 def q_project_metadata(spark, d):
-    v = fx.vector_store(spark, d)
+    v = fx.vector_store(spark, d, whole=True)
     return v.select("id", F.col("metadata.document_id").alias("document_id"),
                     F.col("metadata.chunk_index").cast("long").alias("chunk_index"),
                     F.col("metadata.token_count").cast("long").alias("token_count"))
 
 
-def _store_vectors(spark, d):
-    valid, _ = vectors.to_vectors(_embedded_store(spark, d), run_ts=fx.run_ts())
+def _store_vectors(spark, d, whole=True):
+    valid, _ = vectors.to_vectors(_embedded_store(spark, d, whole), run_ts=fx.run_ts())
     return valid
 
 
 @query("vector_upsert")
 def q_vector_upsert(spark, d):
-    nxt = vectors.upsert(fx.vector_store(spark, d), _store_vectors(spark, d))
+    nxt = vectors.upsert(fx.vector_store(spark, d), _store_vectors(spark, d, whole=False))
     return nxt.select("namespace", "id", F.col("metadata.document_id").alias("document_id"),
                       F.col("metadata.chunk_index").cast("long").alias("chunk_index"))
 
@@ -486,8 +492,20 @@ def q_sync(spark, d):
 
 # --- retrieval ------------------------------------------------------------------
 
+def _vector_queries(vecs):
+    """Every row whose vec_id is divisible by QUERY_EVERY, as a query on all rows."""
+    return vecs.where(F.col("metadata.chunk_index") % QUERY_EVERY == 0).select(F.col("id").alias("query_id"), "values")
+
+
 @query("similarity_topk")
 def q_similarity_topk(spark, d):
+    lab = fx.labelled_vectors(spark, d)
+    hits = retrieval.topk(lab, _vector_queries(lab), k=TOPK, namespace=fx.LABELLED_NS)
+    return hits.select("query_id", "id", F.col("rank").cast("long").alias("rank"), "score")
+
+
+@query("centroid_topk")
+def q_centroid_topk(spark, d):
     lab = fx.labelled_vectors(spark, d)
     queries = retrieval.centroids(lab.withColumn("g", F.col("metadata.document_id")), "g",
                                   embed.EMBED_DIM)
@@ -502,7 +520,8 @@ def q_retrieve_context(spark, d):
         embed.hashing_embedder()(F.col("text")).alias("values"))
     hits, bound = retrieval.topk_bounded(_store_vectors(spark, d), queries, k=CONTEXT_K,
                                          namespace=DEFAULT_NAMESPACE)
-    ctx = retrieval.context(hits, fx.chunk_store(spark, d), fx.store(spark, d), hits_max_rows=bound)
+    ctx = retrieval.context(hits, fx.chunk_store(spark, d, whole=True), fx.store(spark, d, whole=True),
+                            hits_max_rows=bound)
     return ctx.select("query_id", F.col("rank").cast("long").alias("rank"), "score", "chunk_id",
                       "document_id", "title", _long("chunk_index"))
 
@@ -513,9 +532,10 @@ def q_retrieve_stale_context(spark, d):
     queries = fx.table(spark, d, "benchmark").select(
         F.col("item_id").cast("string").alias("query_id"),
         embed.hashing_embedder()(F.col("text")).alias("values"))
-    hits, bound = retrieval.topk_bounded(fx.vector_store(spark, d), queries, k=CONTEXT_K,
+    hits, bound = retrieval.topk_bounded(fx.vector_store(spark, d, whole=True), queries, k=CONTEXT_K,
                                          namespace=DEFAULT_NAMESPACE)
-    ctx = retrieval.context(hits, fx.chunk_store(spark, d), fx.store(spark, d), hits_max_rows=bound)
+    ctx = retrieval.context(hits, fx.chunk_store(spark, d, whole=True), fx.store(spark, d, whole=True),
+                            hits_max_rows=bound)
     return ctx.select("query_id", F.col("rank").cast("long").alias("rank"), "chunk_id",
                       F.col("chunk_content").isNull().alias("stale"))
 
@@ -529,6 +549,115 @@ def q_search_documents(spark, d):
         F.count(F.lit(1)).alias("matched_terms"), F.sum("hits").cast("long").alias("hits"))
 
 
+@query("filtered_topk")
+def q_filtered_topk(spark, d):
+    """R1 within a metadata predicate: vectors of some documents and a range of indexes."""
+    lab = fx.labelled_vectors(spark, d)
+    hits = retrieval.topk(lab, _vector_queries(lab), k=TOPK, namespace=fx.LABELLED_NS, where=VECTOR_FILTER)
+    return hits.select("query_id", "id", F.col("rank").cast("long").alias("rank"), "score")
+
+
+@query("filtered_search")
+def q_filtered_search(spark, d):
+    """R3 within a predicate on the documents' columns."""
+    terms = fx.table(spark, d, "benchmark").select(F.explode(postings.terms_of("text", False)).alias("term"))
+    hits = retrieval.search(_docs(spark, d), terms, id_col="doc_id", text_col="text", where=DOCUMENT_FILTER)
+    return hits.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("matched_terms"), F.sum("hits").cast("long").alias("hits"))
+
+
+def _benchmark_queries(spark, d):
+    return fx.table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text")
+
+
+@query("search_ranked")
+def q_search_ranked(spark, d):
+    """R3 by the inverted index: the best documents for every benchmark text."""
+    docs = _doc_rows(spark, d)
+    size = postings.corpus_size(docs.select(F.size(postings.terms_of("content")).alias("n_tokens")))
+    found = postings.search(postings.postings_of(docs), _benchmark_queries(spark, d), size, k=SEARCH_K)
+    return found.select("query_id", _long("rank"), F.col("document_id").cast("long").alias("doc_id"),
+                        _long("matched_terms"), F.round("score", 4).alias("score"))
+
+
+@query("search_phrases")
+def q_search_phrases(spark, d):
+    """Documents that hold a whole benchmark text, token by token, by the index's positions."""
+    found = postings.phrases(postings.postings_of(_doc_rows(spark, d)), _benchmark_queries(spark, d))
+    return found.select("query_id", F.col("document_id").cast("long").alias("doc_id"), _long("hits"))
+
+
+# --- bucketed stores ------------------------------------------------------------------
+
+def _bucketed(spark, d):
+    stores = incremental.open_stores(spark, os.path.join(scratch_dir(spark, "stores"), uuid.uuid4().hex),
+                                     buckets=16, postings_buckets=32)
+    incremental.load(stores, fx.store(spark, d), fx.chunk_store(spark, d), fx.vector_store(spark, d))
+    return stores
+
+
+def _all_rows(stores, version=None):
+    """Every store's rows in one frame, vectors with their values."""
+    docs = stores.read("documents", version).select(
+        F.lit("documents").alias("store"), "id", "title", F.md5("content").alias("content_md5"),
+        F.lit(None).cast("string").alias("document_id"), F.lit(None).cast("long").alias("chunk_index"),
+        F.lit(None).cast("double").alias("value_sum"))
+    chunks = stores.read("chunks", version).select(
+        F.lit("chunks").alias("store"), "id", F.lit(None).cast("string").alias("title"),
+        F.md5("content").alias("content_md5"), "document_id", _long("chunk_index"),
+        F.lit(None).cast("double").alias("value_sum"))
+    # every value enters, each weighted by its place
+    total = F.aggregate(F.transform("values", lambda v, i: v.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    vecs = stores.read("vectors", version).select(
+        F.lit("vectors").alias("store"), "id", F.lit(None).cast("string").alias("title"),
+        F.lit(None).cast("string").alias("content_md5"), F.col("metadata.document_id").alias("document_id"),
+        F.col("metadata.chunk_index").cast("long").alias("chunk_index"), F.round(total, 5).alias("value_sum"))
+    return docs.unionByName(chunks).unionByName(vecs)
+
+
+@query("incremental_sync")
+def q_incremental_sync(spark, d):
+    """The whole manifest synced into bucketed stores; all rows of the three stores."""
+    stores = _bucketed(spark, d)
+    incremental.sync(stores, fx.manifest(spark, d), all=True, cfg=pipeline.SyncConfig(run_id="run-1"),
+                     run_ts=fx.run_ts())
+    return _all_rows(stores)
+
+
+@query("incremental_requested")
+def q_incremental_requested(spark, d):
+    """The requested documents only; the others' rows stay as they are."""
+    stores = _bucketed(spark, d)
+    incremental.sync(stores, fx.manifest(spark, d), fx.requested_titles(spark, d),
+                     cfg=pipeline.SyncConfig(run_id="run-1"), run_ts=fx.run_ts())
+    return _all_rows(stores)
+
+
+@query("incremental_cleanup")
+def q_incremental_cleanup(spark, d):
+    stores = _bucketed(spark, d)
+    incremental.cleanup(stores, fx.cleanup_names(spark, d), run="clean")
+    return _all_rows(stores)
+
+
+@query("store_as_of")
+def q_store_as_of(spark, d):
+    """The first version, read after a cleanup made another."""
+    stores = _bucketed(spark, d)
+    incremental.cleanup(stores, fx.cleanup_names(spark, d), run="clean")
+    return _all_rows(stores, version=0)
+
+
+@query("incremental_report")
+def q_incremental_report(spark, d):
+    """The observed counters of a sync and of a cleanup after it."""
+    stores = _bucketed(spark, d)
+    done = incremental.sync(stores, fx.manifest(spark, d), all=True, cfg=pipeline.SyncConfig(run_id="run-1"),
+                            run_ts=fx.run_ts())
+    clean = incremental.cleanup(stores, fx.cleanup_names(spark, d), run="clean")
+    return done.report.unionByName(clean.report)
+
+
 # --- sources and sinks ------------------------------------------------------------
 
 @query("docx_extract")
@@ -560,7 +689,8 @@ def q_sync_stream(spark, d):
     landing, stores, ckpt = (os.path.join(base, x) for x in ("landing", "stores", "checkpoint"))
     man = fx.manifest(spark, d)
     ss.land(man.where(F.col("mime_type") != fx.HTML_MIME), landing, files=2)
-    ss.init_stores(stores, fx.store(spark, d), fx.chunk_store(spark, d), fx.vector_store(spark, d))
+    ss.init_stores(stores, fx.store(spark, d), fx.chunk_store(spark, d), fx.vector_store(spark, d),
+                   buckets=16, postings_buckets=32)
     out = ss.run_available(spark, landing, stores, ckpt, max_files_per_trigger=1,
                            cfg=pipeline.SyncConfig(run_id="stream"))
     return out["chunks"].select("id", "document_id", _long("chunk_index"), _long("token_count"))

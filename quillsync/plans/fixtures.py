@@ -16,6 +16,8 @@ All derivations are joins and projections over whole tables:
 * **vector store**: vectors of the chunks of the ``toxic = 0`` labelled
   documents computed from their current text, so reconciling it against the
   chunk store finds real drift (chunks without vectors, stale vectors).
+* ``whole=True``: the store, its chunks and its vectors of all documents, for the queries on
+  stores that stay as they are; only matching, deletes, upserts and reconciling need a partial one.
 * **labelled vectors**: ``embeddings`` as vectors in their own namespace.
 * **conversation store**: ``conversations`` turns as documents titled
   ``conv-<conv_id>`` (many rows per title, for first-match and landing).
@@ -81,13 +83,13 @@ def source(spark: SparkSession, d: str) -> DataFrame:
         doc_title().alias("title"), F.col("text").alias("content"), "doc_id")
 
 
-def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+def _labelled(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left" if whole else "inner")
 
 
-def store(spark: SparkSession, d: str) -> DataFrame:
+def store(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
     ts = F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("doc_id"))
-    return _labelled(spark, d).select(
+    return _labelled(spark, d, whole).select(
         document_id(doc_title()).alias("id"),
         doc_title().alias("title"),
         F.when(F.col("quality") == 0, F.concat(F.col("text"), F.lit(OLD_SUFFIX)))
@@ -104,12 +106,13 @@ def cleanup_names(spark: SparkSession, d: str) -> DataFrame:
         F.concat(doc_title(), F.lit(".docx")).alias("name"))
 
 
-def chunk_store(spark: SparkSession, d: str) -> DataFrame:
-    return with_chunk_ids(make_chunks(store(spark, d).select("id", "content")), run_ts())
+def chunk_store(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    return with_chunk_ids(make_chunks(store(spark, d, whole).select("id", "content")), run_ts())
 
 
-def vector_store(spark: SparkSession, d: str) -> DataFrame:
-    current = _labelled(spark, d).where(F.col("toxic") == 0).select(
+def vector_store(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    docs = _labelled(spark, d, whole)
+    current = (docs if whole else docs.where(F.col("toxic") == 0)).select(
         document_id(doc_title()).alias("id"), F.col("text").alias("content"))
     chunks = with_chunk_ids(make_chunks(current), run_ts())
     embedded, _ = embed(chunks)

@@ -81,6 +81,9 @@ SRC = f"src AS (SELECT {doc_title()} AS title, text AS content, doc_id FROM docu
 LABELLED = """labelled AS (SELECT d.doc_id, d.source, d.text, l.quality, l.toxic
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
+# the same with all documents: those without labels are neither edited nor toxic
+ALL_LABELLED = LABELLED.replace("JOIN labels", "LEFT JOIN labels")
+
 STORE = f"""store AS (
   SELECT {doc_id_of(doc_title())} AS id, {doc_title()} AS title,
          CASE WHEN quality = 0 THEN text || {lit(fx.OLD_SUFFIX)} ELSE text END AS content,
@@ -172,6 +175,7 @@ STORE_DOCS = "store_docs AS (SELECT id, content FROM store)"
 CHUNK_STORE = chunk_store_ctes("chunk_store", "store_docs")
 CURRENT = f"""current_docs AS (SELECT {doc_id_of(doc_title())} AS id, text AS content
   FROM labelled WHERE toxic = 0)"""
+CURRENT_ALL = CURRENT.replace(" WHERE toxic = 0", "")
 VECTOR_STORE = chunk_store_ctes("vec_chunks", "current_docs") + ",\n" + embed_ctes(
     "vec_emb", "vec_chunks") + f""",
 vector_store AS (SELECT {lit(DEFAULT_NAMESPACE)} AS namespace, id, vals, document_id,
@@ -266,9 +270,9 @@ reg("make_chunks", with_(SRC_DOCS, chunk_ctes("ch", "src_docs"))
     + "SELECT document_id, chunk_index, content, token_count FROM ch")
 reg("chunk_index", with_(SRC_DOCS, chunk_ctes("ch", "src_docs", cat.SMALL_MAX, cat.SMALL_OVERLAP))
     + "SELECT document_id, chunk_index, token_count FROM ch")
-reg("project_chunk", with_(LABELLED, STORE, STORE_DOCS, chunk_ctes("ch", "store_docs"))
+reg("project_chunk", with_(ALL_LABELLED, STORE, STORE_DOCS, chunk_ctes("ch", "store_docs"))
     + "SELECT document_id, chunk_index, content, token_count FROM ch")
-reg("chunks_per_document", with_(LABELLED, STORE, STORE_DOCS, CHUNK_STORE)
+reg("chunks_per_document", with_(ALL_LABELLED, STORE, STORE_DOCS, CHUNK_STORE)
     + "SELECT document_id, count(*) AS chunks FROM chunk_store GROUP BY document_id")
 reg("process_documents", with_(SRC, LABELLED, STORE, MATCHED, MAPPED, MAPPED_DOCS,
                                chunk_ctes("ch", "mapped_docs"))
@@ -293,12 +297,12 @@ reg("replace_mode", with_(SRC, LABELLED, STORE, MATCHED, MAPPED, MAPPED_DOCS, ST
   UNION ALL SELECT id, document_id, chunk_index FROM new_chunks""")
 reg("read_chunks_by_document", with_(LABELLED, STORE, REQUESTED, REQUESTED_IDS, STORE_DOCS, CHUNK_STORE)
     + "SELECT document_id, chunk_index, id FROM chunk_store WHERE document_id IN (SELECT id FROM requested_ids)")
-reg("order_chunks", with_(LABELLED, STORE, STORE_DOCS, CHUNK_STORE)
+reg("order_chunks", with_(ALL_LABELLED, STORE, STORE_DOCS, CHUNK_STORE)
     + """SELECT document_id, chunk_index,
   lag(chunk_index) OVER (PARTITION BY document_id ORDER BY chunk_index) AS prev_index FROM chunk_store""")
 
 # --- embeddings and vectors ------------------------------------------------------
-EMB_BASE = (LABELLED, STORE, STORE_DOCS, CHUNK_STORE, EMBEDDED_STORE)
+EMB_BASE = (ALL_LABELLED, STORE, STORE_DOCS, CHUNK_STORE, EMBEDDED_STORE)
 reg("embed_chunks", with_(*EMB_BASE) + """SELECT id, len(vals) AS dims,
   round(list_sum(list_transform(vals, lambda v: CAST(v AS DOUBLE))), 6) AS value_sum,
   round(CAST(list_max(vals) AS DOUBLE), 6) AS value_max
@@ -306,7 +310,7 @@ reg("embed_chunks", with_(*EMB_BASE) + """SELECT id, len(vals) AS dims,
 reg("drop_failed_embeddings", with_(*EMB_BASE) + """SELECT 'embedded' AS metric, count(*) AS value
   FROM store_emb WHERE vals IS NOT NULL
   UNION ALL SELECT 'failed', count(*) FROM store_emb WHERE vals IS NULL""")
-reg("embedding_rejects", with_(LABELLED, STORE, STORE_DOCS, CHUNK_STORE) + """SELECT document_id AS filename,
+reg("embedding_rejects", with_(ALL_LABELLED, STORE, STORE_DOCS, CHUNK_STORE) + """SELECT document_id AS filename,
   'no_embedding [doc=' || document_id || ' | chunk=' || id || ']' AS error
   FROM chunk_store WHERE substr(md5(content), 1, 1) = '0'""")
 reg("validate_vectors", with_(*EMB_BASE) + """SELECT 'valid' AS metric, count(*) AS value FROM store_emb
@@ -314,7 +318,7 @@ reg("validate_vectors", with_(*EMB_BASE) + """SELECT 'valid' AS metric, count(*)
   UNION ALL SELECT 'rejected', count(*) FROM store_emb
   WHERE vals IS NULL OR len(vals) = 0 OR id IS NULL OR id = ''""")
 VEC_BASE = (LABELLED, CURRENT, VECTOR_STORE)
-reg("project_metadata", with_(*VEC_BASE) + "SELECT id, document_id, chunk_index, token_count FROM vector_store")
+reg("project_metadata", with_(ALL_LABELLED, CURRENT_ALL, VECTOR_STORE) + "SELECT id, document_id, chunk_index, token_count FROM vector_store")
 UPSERTED = """upserted AS (
   SELECT v.namespace, v.id, v.document_id, v.chunk_index FROM vector_store v
   ANTI JOIN store_vectors s ON v.namespace = s.namespace AND v.id = s.id
@@ -322,7 +326,7 @@ UPSERTED = """upserted AS (
 reg("vector_upsert", with_(*VEC_BASE, STORE, STORE_DOCS, CHUNK_STORE, EMBEDDED_STORE, STORE_VECTORS,
                            UPSERTED)
     + "SELECT namespace, id, document_id, chunk_index FROM upserted")
-reg("vector_sync", with_(*VEC_BASE, STORE, STORE_DOCS, CHUNK_STORE, EMBEDDED_STORE, STORE_VECTORS,
+reg("vector_sync", with_(ALL_LABELLED, CURRENT, VECTOR_STORE, STORE, STORE_DOCS, CHUNK_STORE, EMBEDDED_STORE, STORE_VECTORS,
                          UPSERTED)
     + """SELECT 'upserted' AS metric, count(*) AS value FROM store_vectors
   UNION ALL SELECT 'rejected', count(*) FROM store_emb WHERE vals IS NULL
@@ -395,9 +399,22 @@ CENTROIDS = f"""cen AS (SELECT document_id AS query_id, i, avg(CAST(vals[i + 1]
   q AS (SELECT query_id, list(m ORDER BY i) AS qv FROM cen GROUP BY query_id),
   sc AS (SELECT q.query_id, v.id, round(list_inner_product(CAST(v.vals AS DOUBLE[]), q.qv), 6) AS score
          FROM q, labelled_vectors v)"""
-reg("similarity_topk", with_(LABELLED_VECTORS, CENTROIDS) + f"""SELECT query_id, id, rank, score FROM (
+TOP = f"""SELECT query_id, id, rank, score FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM sc)
-  WHERE rank <= {cat.TOPK}""")
+  WHERE rank <= {cat.TOPK}"""
+
+
+def vector_scores(where: str) -> str:
+    """Scores of every row whose vec_id is divisible, against the rows that the condition leaves."""
+    return f"""sc AS (SELECT q.id AS query_id, v.id,
+      round(list_inner_product(CAST(v.vals AS DOUBLE[]), CAST(q.vals AS DOUBLE[])), 6) AS score
+    FROM labelled_vectors q, labelled_vectors v WHERE q.chunk_index % {cat.QUERY_EVERY} = 0 AND {where})"""
+
+
+reg("centroid_topk", with_(LABELLED_VECTORS, CENTROIDS) + TOP)
+reg("similarity_topk", with_(LABELLED_VECTORS, vector_scores("true")) + TOP)
+reg("filtered_topk", with_(LABELLED_VECTORS, vector_scores(
+    "v.document_id IN ('label-1', 'label-3', 'label-8') AND (v.chunk_index < 200 OR v.chunk_index >= 300)")) + TOP)
 BENCH_Q = embed_ctes("bq", "benchmark", text="text")
 BENCH_SCORES = f"""sc AS (SELECT CAST(q.item_id AS VARCHAR) AS query_id, v.id,
     round(list_inner_product(CAST(v.vals AS DOUBLE[]), CAST(q.vals AS DOUBLE[])), 6) AS score
@@ -408,7 +425,7 @@ BENCH_SCORES = f"""sc AS (SELECT CAST(q.item_id AS VARCHAR) AS query_id, v.id,
 reg("retrieve_context", with_(*EMB_BASE, STORE_VECTORS, BENCH_Q, BENCH_SCORES) + """
   SELECT t.query_id, t.rank, t.score, t.id AS chunk_id, c.document_id, s.title, c.chunk_index
   FROM top t JOIN chunk_store c ON t.id = c.id LEFT JOIN store s ON c.document_id = s.id""")
-reg("retrieve_stale_context", with_(LABELLED, STORE, STORE_DOCS, CHUNK_STORE, CURRENT, VECTOR_STORE, BENCH_Q,
+reg("retrieve_stale_context", with_(ALL_LABELLED, STORE, STORE_DOCS, CHUNK_STORE, CURRENT_ALL, VECTOR_STORE, BENCH_Q,
                                     BENCH_SCORES.replace("store_vectors v", "vector_store v")) + """
   SELECT t.query_id, t.rank, t.id AS chunk_id, c.id IS NULL AS stale
   FROM top t LEFT JOIN chunk_store c ON t.id = c.id""")
@@ -419,6 +436,96 @@ reg("search_documents", f"""WITH terms AS (
            GROUP BY doc_id, term)
   SELECT doc_id, count(*) AS matched_terms, CAST(sum(hits) AS BIGINT) AS hits FROM hits GROUP BY doc_id""")
 
+reg("filtered_search", f"""WITH terms AS (SELECT DISTINCT unnest(regexp_extract_all(text, {lit(TOKEN_PATTERN)})) AS term
+    FROM benchmark),
+  toks AS (SELECT doc_id, unnest(regexp_extract_all(text, {lit(TOKEN_PATTERN)})) AS term FROM documents
+           WHERE lang IN ('en', 'de') AND NOT coalesce(n_chars > 20000, false)),
+  hits AS (SELECT doc_id, term, count(*) AS hits FROM toks WHERE term IN (SELECT term FROM terms)
+           GROUP BY doc_id, term)
+  SELECT doc_id, count(*) AS matched_terms, CAST(sum(hits) AS BIGINT) AS hits FROM hits GROUP BY doc_id""")
+reg("search_ranked", f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), {lit(TOKEN_PATTERN)}) AS ts FROM documents),
+  n AS (SELECT count(*) AS n, avg(len(ts)) AS mean FROM d),
+  q AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS query_id,
+               unnest(regexp_extract_all(lower(text), {lit(TOKEN_PATTERN)})) AS term FROM benchmark),
+  tf AS (SELECT doc_id, len, term, count(*) AS tf FROM (SELECT doc_id, len(ts) AS len, unnest(ts) AS term FROM d)
+         WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+  df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+  s AS (SELECT query_id, doc_id, count(*) AS matched_terms,
+               sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))) AS score
+        FROM tf JOIN df USING (term) JOIN q USING (term), n GROUP BY query_id, doc_id)
+  SELECT query_id, rank, doc_id, matched_terms, round(round(score, 6), 4) AS score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, CAST(doc_id AS VARCHAR)) AS rank
+    FROM s) WHERE rank <= {cat.SEARCH_K}""")
+MARKED = "array_to_string(list_transform(regexp_extract_all(lower({}), " + lit(TOKEN_PATTERN).replace("{", "{{").replace(
+    "}", "}}") + "), lambda t: chr(1) || t || chr(2)), '')"
+reg("search_phrases", f"""WITH d AS (SELECT doc_id, {MARKED.format('text')} AS s FROM documents),
+  q AS (SELECT CAST(item_id AS VARCHAR) AS query_id, {MARKED.format('text')} AS p FROM benchmark)
+  SELECT query_id, doc_id, len(string_split(s, p)) - 1 AS hits FROM d JOIN q ON contains(s, p)""")
+
+# --- bucketed stores ---------------------------------------------------------------
+WEIGHTED = "round(list_sum(list_transform(vals, lambda v, i: CAST(v AS DOUBLE) * i)), 5)"
+
+
+def all_rows(docs: str, chunks: str, vecs: str) -> str:
+    return f"""SELECT 'documents' AS store, id, title, md5(content) AS content_md5,
+    CAST(NULL AS VARCHAR) AS document_id, CAST(NULL AS BIGINT) AS chunk_index, CAST(NULL AS DOUBLE) AS value_sum
+  FROM {docs}
+  UNION ALL SELECT 'chunks', id, NULL, md5(content), document_id, chunk_index, NULL FROM {chunks}
+  UNION ALL SELECT 'vectors', id, NULL, NULL, document_id, chunk_index, {WEIGHTED} FROM {vecs}"""
+
+
+def aligned(docs: str) -> str:
+    """Chunks of ``docs`` (id, content) with the ids they have after a sync: that of the stored chunk of the
+    same place and content, else that of the stored chunk with the same content at the same
+    rank among those that have no such partner, else a new one."""
+    return chunk_store_ctes("made", docs) + """,
+old_rest AS (SELECT *, row_number() OVER (PARTITION BY document_id, content ORDER BY chunk_index) AS rn
+  FROM chunk_store c ANTI JOIN made m ON c.id = m.id),
+made_rest AS (SELECT *, row_number() OVER (PARTITION BY document_id, content ORDER BY chunk_index) AS rn
+  FROM made m ANTI JOIN chunk_store c ON c.id = m.id),
+aligned AS (SELECT m.id, m.document_id, m.chunk_index, m.content, m.token_count FROM made m SEMI JOIN chunk_store c ON c.id = m.id
+  UNION ALL SELECT coalesce(o.id, m.id), m.document_id, m.chunk_index, m.content, m.token_count
+  FROM made_rest m LEFT JOIN old_rest o ON o.document_id = m.document_id AND o.content = m.content AND o.rn = m.rn),
+""" + embed_ctes("aligned_vecs", "aligned")
+
+
+INC_BASE = (MANIFEST, LISTED, SRC, LABELLED, STORE, MATCHED, MAPPED, MAPPED_DOCS, STORE_DOCS, CHUNK_STORE)
+reg("incremental_sync", with_(*INC_BASE, aligned("mapped_docs")) + all_rows("mapped", "aligned", "aligned_vecs"))
+ASKED = "asked AS (SELECT m.* FROM mapped m WHERE title IN (SELECT title FROM requested))"
+ASKED_DOCS = "asked_docs AS (SELECT id, content FROM asked)"
+LEFT_OVER = """docs_now AS (SELECT id, title, content FROM asked UNION ALL
+    SELECT id, title, content FROM store WHERE id NOT IN (SELECT id FROM asked)),
+  chunks_now AS (SELECT id, document_id, chunk_index, content FROM aligned UNION ALL
+    SELECT id, document_id, chunk_index, content FROM chunk_store WHERE document_id NOT IN (SELECT id FROM asked)),
+  vecs_now AS (SELECT id, document_id, chunk_index, vals FROM aligned_vecs UNION ALL
+    SELECT id, document_id, chunk_index, vals FROM vector_store WHERE document_id NOT IN (SELECT id FROM asked))"""
+reg("incremental_requested", with_(*INC_BASE, REQUESTED, CURRENT, VECTOR_STORE, ASKED, ASKED_DOCS, aligned("asked_docs"),
+                                   LEFT_OVER) + all_rows("docs_now", "chunks_now", "vecs_now"))
+STATE_BASE = (LABELLED, STORE, STORE_DOCS, CHUNK_STORE, CURRENT, VECTOR_STORE)
+reg("store_as_of", with_(*STATE_BASE) + all_rows("store", "chunk_store", "vector_store"))
+reg("incremental_cleanup", with_(*STATE_BASE, CLEANUP_NAMES, CLEANUP_IDS) + all_rows(
+    "(FROM store WHERE id NOT IN (SELECT id FROM cleanup_ids))",
+    "(FROM chunk_store WHERE document_id NOT IN (SELECT id FROM cleanup_ids))",
+    "(FROM vector_store WHERE document_id NOT IN (SELECT id FROM cleanup_ids))"))
+reg("incremental_report", with_(*INC_BASE, CLEANUP_NAMES, CURRENT, VECTOR_STORE, aligned("mapped_docs"), f"""gone_docs AS (
+    SELECT id FROM mapped WHERE title IN (SELECT {title_of('name')} FROM cleanup_names))""") + """
+  SELECT 'files_listed' AS metric, count(*) AS value FROM listed
+  UNION ALL SELECT 'files_landed', count(DISTINCT name) FROM listed
+  UNION ALL SELECT 'documents_mapped', count(*) FROM mapped
+  UNION ALL SELECT 'documents_new', count(*) FROM mapped WHERE status = 'new'
+  UNION ALL SELECT 'documents_changed', count(*) FROM mapped WHERE status = 'changed'
+  UNION ALL SELECT 'documents_same', count(*) FROM mapped WHERE status = 'same'
+  UNION ALL SELECT 'chunks_kept', count(*) FROM made WHERE id IN (SELECT id FROM chunk_store)
+  UNION ALL SELECT 'chunks_moved', count(*) FROM aligned WHERE id IN (SELECT id FROM old_rest)
+  UNION ALL SELECT 'chunks_fresh', count(*) FROM aligned WHERE id NOT IN (SELECT id FROM chunk_store)
+  UNION ALL SELECT 'chunks_gone', count(*) FROM old_rest WHERE id NOT IN (SELECT id FROM aligned)
+  UNION ALL SELECT 'chunks_embedded', count(*) FROM aligned a
+    ANTI JOIN vector_store v ON a.id = v.id AND a.document_id = v.document_id
+  UNION ALL SELECT 'embeddings_failed', 0
+  UNION ALL SELECT 'documents_deleted', count(*) FROM gone_docs
+  UNION ALL SELECT 'chunks_deleted', count(*) FROM aligned WHERE document_id IN (SELECT id FROM gone_docs)
+  UNION ALL SELECT 'vectors_deleted', count(*) FROM aligned WHERE document_id IN (SELECT id FROM gone_docs)""")
+
 # --- sources and sinks -----------------------------------------------------------
 reg("docx_extract", with_(MANIFEST) + f"""SELECT name,
   array_to_string(list_filter(string_split(content, chr(10)), lambda l: {non_blank('l')}), chr(10)) AS content
