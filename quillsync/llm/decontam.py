@@ -52,7 +52,8 @@ _QUANTITY = "^[+-]?[0-9][0-9.,:/]*(%|[a-z]{1,3})$"
 _NUMERIC = "^[+-]?[0-9]"
 _NAME = "^\\p{Lu}[\\p{L}\\p{M}'’.-]*$"
 _POSSESSIVE = "['’]s$"
-_OUTER = "^[^\\p{L}\\p{N}+-]+|[^\\p{L}\\p{N}%]+$"
+# one word, its outer punctuation left out of the group; no part of it is tried twice
+_WORD = ("(?=[^ \\t-\\r])[^\\p{L}\\p{N}+\\- \\t-\\r]*+((?:[^ \\t-\\r]*[\\p{L}\\p{N}%])?)[^ \\t-\\r]*+")
 
 
 def _barrier(df: DataFrame, keep: list[str], **made: Column) -> DataFrame:
@@ -63,22 +64,27 @@ def _barrier(df: DataFrame, keep: list[str], **made: Column) -> DataFrame:
 
 def _templates(df: DataFrame, key: str) -> DataFrame:
     """(key, word, tpl): the words, in lower case, and template words of each row of (key, text)."""
-    raw = F.filter(F.split("text", "[ \\t-\\r]+"), lambda x: x != "")
+    # the words are cut in one pass over the text, not by a regex for each
     word = _barrier(df.where(F.col(key).isNotNull() & F.col("text").isNotNull()), [key],
-                    word=F.transform(raw, lambda x: F.regexp_replace(x, _OUTER, "")))
+                    word=F.regexp_extract_all("text", F.lit(_WORD), 1))
+    word = _barrier(word, [key, "word"], low=F.transform("word", F.lower))
 
     def template(x, i):
         before = F.get("word", i - 1)
-        return (F.when(x.rlike(_NUMERIC), F.when(x.rlike(_NUMBER), "<num>").when(x.rlike(_QUANTITY), "<qty>")
-                       .otherwise(F.lower(x)))
-                .when(F.lower(x).isin(UNITS) & F.coalesce(before.rlike(_NUMBER), F.lit(False)), "<unit>")
+        low = F.get("low", i)
+        unit = low.isin(UNITS) & F.coalesce(before.rlike(_NUMBER), F.lit(False))
+        # most words begin with a-z: neither numbers nor names, whatever follows
+        return (F.when(F.ascii(x).between(97, 122), F.when(unit, "<unit>").otherwise(low))
+                .when(x.rlike(_NUMERIC), F.when(x.rlike(_NUMBER), "<num>").when(x.rlike(_QUANTITY), "<qty>")
+                      .otherwise(low))
+                .when(unit, "<unit>")
                 .when(x.rlike(_NAME), "<name>")
-                .otherwise(F.lower(x)))
+                .otherwise(low))
 
-    return _barrier(word, [key], word=F.transform("word", F.lower), tpl=F.transform("word", template))
+    return _barrier(word, [key, "low"], tpl=F.transform("word", template)).withColumnRenamed("low", "word")
 
 
-def _windows(words: str, width: int = WINDOW) -> Column:
+def _windows(words: str, width: int) -> Column:
     """Hashes of every window of the words; none where they are fewer than a window."""
     n = F.size(words)
     return F.when(n >= width, F.transform(
@@ -86,10 +92,30 @@ def _windows(words: str, width: int = WINDOW) -> Column:
         .otherwise(F.array().cast("array<bigint>"))
 
 
-def _template_windows() -> Column:
-    """Hashes of every window of the column tpl; of the whole where it is shorter."""
-    n = F.size("tpl")
-    return F.when((n > 0) & (n < WINDOW), F.array(F.xxhash64("tpl", F.lit(0)))).otherwise(_windows("tpl"))
+def _doubled(df: DataFrame, keep: list[str], **words: str) -> DataFrame:
+    """``keep`` and, for each named column of words, hashes of every window of WINDOW of them: of pairs,
+    of pairs of pairs and so on, so that a place takes one look-up a step; none where the
+    words are fewer than a window."""
+    def joined(column: str, width: int) -> Column:
+        return F.transform(column, lambda x, i: F.xxhash64(x, F.get(column, i + width)))
+
+    names = list(words)
+    step, width = dict(words), 1
+    while width < WINDOW:
+        made = {k: joined(step[k], width) for k in names}
+        rest = [c for c in keep if c not in made]
+        width *= 2
+        if width == WINDOW:
+            # windows that reach past the end are no windows
+            made = {k: F.slice(made[k], 1, F.greatest(F.size(step[k]) - (WINDOW - 1), F.lit(0))) for k in names}
+        df = _barrier(df, rest, **{f"{k}_{width}": c for k, c in made.items()})
+        step = {k: f"{k}_{width}" for k in names}
+    return df.select(*keep, *[F.col(step[k]).alias(k) for k in names])
+
+
+def _whole(words: str) -> Column:
+    """The hash of a whole template that is shorter than a window; of others, none."""
+    return F.when(F.size(words).between(1, WINDOW - 1), F.xxhash64(words, F.lit(0)))
 
 
 def _is_slot(x: Column) -> Column:
@@ -106,12 +132,15 @@ def _item_windows(items: DataFrame) -> DataFrame:
     """(h, item_id, at, typed, n, n_typed): windows of the items, by template (typed) and
     by literal words; an item has n places of windows and n_typed usable templates."""
     n = F.size("tpl")
-    typed = items.where(n > 0).select("item_id", "tpl", F.posexplode(_template_windows()).alias("at", "h")) \
+    made = _doubled(items, ["item_id", "word", "tpl"], typed="tpl", literal="word")
+    whole = F.coalesce(F.array(_whole("tpl")), F.array())
+    typed = made.where(n > 0).select(
+        "item_id", "tpl", F.posexplode(F.when(n < WINDOW, whole).otherwise(F.col("typed"))).alias("at", "h")) \
         .where(F.size(F.filter(F.slice("tpl", F.col("at") + 1, WINDOW), _is_slot)) * 2
                <= F.least(F.lit(WINDOW), n)) \
         .select("item_id", "at", "h", F.lit(True).alias("typed"))
-    short = F.when(F.size("word").between(1, WINDOW - 1), F.array(F.xxhash64("word"))).otherwise(_windows("word"))
-    literal = items.select("item_id", F.posexplode(short).alias("at", "h")) \
+    short = F.when(F.size("word").between(1, WINDOW - 1), F.array(F.xxhash64("word"))).otherwise(F.col("literal"))
+    literal = made.select("item_id", F.posexplode(short).alias("at", "h")) \
         .select("item_id", "at", "h", F.lit(False).alias("typed"))
     w = typed.unionByName(literal)
     total = w.groupBy("item_id").agg(F.count_distinct("at").alias("n"),
@@ -122,19 +151,24 @@ def _item_windows(items: DataFrame) -> DataFrame:
 def _doc_windows(templates: DataFrame, key: str, widths: list[int]) -> DataFrame:
     """(key, place, h): both kinds of windows of the documents, and literal ones of the
     widths of short items."""
-    short = {f"w{k}": _windows("word", k) for k in widths}
-    made = _barrier(templates, [key], typed=_template_windows(), literal=_windows("word"), **short)
-    # one array of numbers: the literal windows follow the templates; where the two are equal, one is enough
-    parts = [F.col("typed"), F.transform("literal", lambda h, i: F.nullif(h, F.get("typed", i))),
-             *[F.col(k) for k in short]]
+    made = _doubled(templates, [key, "word", "tpl"], typed="tpl", literal="word")
+    made = _barrier(made, [key, "typed", "literal"], whole=_whole("tpl"),
+                    **{f"w{k}": _windows("word", k) for k in widths})
+    # one array of numbers: the whole of a short text, templates, literal windows (where the two are equal,
+    # one is enough), short ones; with the ends of the parts, as the arrays themselves
+    # must not be carried along with every window
+    parts = {"whole": F.filter(F.array("whole"), lambda h: h.isNotNull()), "typed": F.col("typed"),
+             "literal": F.transform("literal", lambda h, i: F.nullif(h, F.get("typed", i))),
+             **{f"w{k}": F.col(f"w{k}") for k in widths}}
     ends, end = {}, F.lit(0)
-    for k in ("typed", "literal", *short):
-        end = end + F.size(k)
+    for k in list(parts)[:-1]:
+        end = end + (F.when(F.col("whole").isNotNull(), 1).otherwise(0) if k == "whole" else F.size(k))
         ends[f"end_{k}"] = end
+    made = _barrier(made, [key], hs=F.concat(*parts.values()), **ends)
     place = F.col("pos")
-    for k in list(ends)[:-1]:
+    for k in ends:
         place = F.when(F.col("pos") >= F.col(k), F.col("pos") - F.col(k)).otherwise(place)
-    return made.select(key, *[v.alias(k) for k, v in ends.items()], F.posexplode(F.concat(*parts)).alias("pos", "h")) \
+    return made.select(key, *ends, F.posexplode("hs").alias("pos", "h")) \
         .where(F.col("h").isNotNull()).select(key, place.alias("place"), "h")
 
 
