@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from quillsync.functions.text import (
     docx_name, is_blank, join_paragraphs, paragraphs, sentences, title_of, token_count)
-from quillsync.operators import audit, chunking, embed, matching, postings, retrieval, store, vectors
+from quillsync.operators import (
+    audit, chunking, embed, matching, postings, retrieval, store, vector_blocks, vectors)
 from quillsync.plans import fixtures as fx
 from quillsync.plans import incremental
 from quillsync.plans import sync as pipeline
@@ -504,6 +505,15 @@ def q_similarity_topk(spark, d):
     return hits.select("query_id", "id", F.col("rank").cast("long").alias("rank"), "score")
 
 
+@query("pruned_topk")
+def q_pruned_topk(spark, d):
+    """The same by an index of blocks, of which those that cannot reach the k-th score are skipped."""
+    lab = fx.labelled_vectors(spark, d)
+    path = os.path.join(scratch_dir(spark, "blocks"), uuid.uuid4().hex)
+    hits, _ = vector_blocks.topk(vector_blocks.build(lab, path), _vector_queries(lab), k=TOPK)
+    return hits.select("query_id", "id", F.col("rank").cast("long").alias("rank"), "score")
+
+
 @query("centroid_topk")
 def q_centroid_topk(spark, d):
     lab = fx.labelled_vectors(spark, d)

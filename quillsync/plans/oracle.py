@@ -413,6 +413,7 @@ def vector_scores(where: str) -> str:
 
 reg("centroid_topk", with_(LABELLED_VECTORS, CENTROIDS) + TOP)
 reg("similarity_topk", with_(LABELLED_VECTORS, vector_scores("true")) + TOP)
+SQL["pruned_topk"] = SQL["similarity_topk"]
 reg("filtered_topk", with_(LABELLED_VECTORS, vector_scores(
     "v.document_id IN ('label-1', 'label-3', 'label-8') AND (v.chunk_index < 200 OR v.chunk_index >= 300)")) + TOP)
 BENCH_Q = embed_ctes("bq", "benchmark", text="text")
