@@ -106,11 +106,13 @@ def join_paragraphs(paras: Column | str) -> Column:
 def stable_id(*cols: Column | str) -> Column:
     """Deterministic uuid-shaped id (8-4-4-4-12 hex) from key columns.
 
-    md5 over the ``|``-joined string forms; a null part counts as ``''``.
+    md5 over the ``|``-joined string forms, in which ``|`` and ``\\`` are escaped, so that
+    different parts never join to the same text; a null part counts as ``''``.
     Unlike ``uuid()`` it gives the same id when a task or stage is re-run,
     so chunk rows and their vectors always agree.
     """
-    parts = [F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]
+    parts = [F.replace(F.replace(F.coalesce(_c(c).cast("string"), F.lit("")), F.lit("\\"), F.lit("\\\\")),
+                       F.lit("|"), F.lit("\\|")) for c in cols]
     h = F.md5(F.concat_ws("|", *parts))
     return F.concat_ws(
         "-",

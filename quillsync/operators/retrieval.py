@@ -146,8 +146,9 @@ def topk_bounded(vectors: DataFrame, queries: DataFrame, k: int = 5,
         v = v.where(F.col("namespace") == F.lit(namespace))
     if where is not None:
         v = v.where(predicate(where, vectors.schema, "metadata"))
-    v = v.select(F.col("id").cast("string").alias("id"), F.col("values"))
-    q = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("values"))
+    # a vector without values has no score, and a query without values no hits
+    v = v.where(F.size("values") > 0).select(F.col("id").cast("string").alias("id"), F.col("values"))
+    q = queries.where(F.size("values") > 0).select(F.col("query_id").cast("string").alias("query_id"), F.col("values"))
     n_q = q.count()
     if n_q <= broadcast_max:
         import numpy as np

@@ -28,29 +28,31 @@ def _tokens(cols) -> Column:
     return F.col("token_count").try_cast("int") if "token_count" in cols else F.lit(0)
 
 
-def reject_reason(cols) -> Column:
+def reject_reason(cols, dim: int | None = None) -> Column:
     """Why an embedded chunk cannot become a vector (null when it can)."""
     cid = F.col("id").cast("string")
     emb = F.col("embedding")
     return (F.when(cid.isNull() | (cid == ""), F.lit("no_chunk_id"))
             .when(emb.isNull() | (F.size(emb) == 0), F.lit("no_embedding"))
+            .when(F.exists(emb, lambda x: x.isNull() | F.isnan(x.cast("double"))), F.lit("bad_embedding"))
+            .when(F.size(emb) != (F.size(emb) if dim is None else F.lit(dim)), F.lit("bad_dimension"))
             .when(_index().isNull(), F.lit("bad_chunk_index"))
             .when(_tokens(cols).isNull(), F.lit("bad_token_count")))
 
 
 def to_vectors(embedded: DataFrame, namespace: str = DEFAULT_NAMESPACE,
-               run_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
+               run_ts: Column | None = None, dim: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Embedded chunks -> (valid vectors, rejects).
 
     A chunk is rejected when its id is missing or empty, its embedding is
-    missing or empty, or its index / token count cannot be read as an int.
+    missing or empty, holds a null or NaN or is not of ``dim`` values (where given), or its index / token count cannot be read as an int.
     A *missing* ``token_count`` column means 0; a null one is rejected.
     """
     idx, tok = _index(), _tokens(embedded.columns)
     emb = F.col("embedding")
     cid = F.col("id").cast("string")
     doc = F.col("document_id").cast("string")
-    checked = embedded.withColumn("_reason", reject_reason(embedded.columns))
+    checked = embedded.withColumn("_reason", reject_reason(embedded.columns, dim))
     valid = checked.where(F.col("_reason").isNull()).select(
         F.lit(namespace).alias("namespace"),
         cid.alias("id"),

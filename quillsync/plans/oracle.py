@@ -24,8 +24,8 @@ def lit(s: str) -> str:
 
 
 def sid(*exprs: str) -> str:
-    """The stable id: md5 of the '|'-joined parts, as 8-4-4-4-12."""
-    parts = ", ".join(f"coalesce(CAST({e} AS VARCHAR), '')" for e in exprs)
+    """The stable id: md5 of the '|'-joined parts ('|' and backslash escaped), as 8-4-4-4-12."""
+    parts = ", ".join(rf"replace(replace(coalesce(CAST({e} AS VARCHAR), ''), '\', '\\'), '|', '\|')" for e in exprs)
     h = f"md5(concat_ws('|', {parts}))"
     return (f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4)"
             f" || '-' || substr({h}, 17, 4) || '-' || substr({h}, 21, 12))")
