@@ -341,7 +341,9 @@ def test_secret_spans_base_and_confirmed(spark):
     der = bytes([0x30, 0x0D, 0x02, 0x01, 0x00, 0x02, 0x08]) + bytes(range(1, 9))
     long_der = b"\x30\x81\x8a\x02\x01\x00\x02\x81\x84" + b"\x11" * 132
     b64 = base64.b64encode(long_der).decode()
-    ssh = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-rsa", b"\x01\x00\x01", b"\x00" + b"k" * 128))
+    # a private key's fields; a public one (the first three) is no secret
+    ssh = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-rsa", b"\x00" + b"k" * 128, b"\x01\x00\x01",
+                                                          b"d" * 128, b"i" * 64, b"p" * 64, b"q" * 64))
     head = base64.urlsafe_b64encode(json.dumps({"alg": "HS256"}).encode()).decode().rstrip("=")
     body = base64.urlsafe_b64encode(json.dumps({"sub": "1"}).encode()).decode().rstrip("=")
     jwt, fake = f"{head}.{body}.c2ln", f"eyJub3QganNvbiBhdCBhbGw.{body}.c2ln"
