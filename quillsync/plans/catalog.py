@@ -24,7 +24,7 @@ from quillsync.plans import incremental
 from quillsync.plans import sync as pipeline
 from quillsync.schemas import DEFAULT_NAMESPACE, DOCUMENTS, conform
 from quillsync.session import cut_lineage, scratch_dir
-from quillsync.sources import docx, listing, rejects
+from quillsync.sources import docx, folder, listing, rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -677,6 +677,34 @@ def q_docx_extract(spark, d):
     return ok.select(F.col("name"), F.col("content"))
 
 
+def _docx_folder(spark, d):
+    """The manifest as files of a folder: its documents as Word files, its pages as files that are none."""
+    path = os.path.join(scratch_dir(spark, "folder"), uuid.uuid4().hex)
+    man = fx.manifest(spark, d)
+    page = F.col("mime_type") == fx.HTML_MIME
+    folder.write_folder(docx.to_docx(man.where(~page)), path)
+    folder.write_folder(man.where(page).select(F.concat("file_id", F.lit(".docx")).alias("name"),
+                                               F.encode("content", "UTF-8").alias("content")), path)
+    return path
+
+
+@query("folder_source")
+def q_folder_source(spark, d):
+    return folder.manifest(folder.read_folder(spark, _docx_folder(spark, d))).select("name", "content", "error")
+
+
+@query("folder_sync")
+def q_folder_sync(spark, d):
+    """A folder synced into bucketed stores: every document, and the rejects of files that are no Word files."""
+    stores = _bucketed(spark, d)
+    done = incremental.sync(stores, folder.manifest(folder.read_folder(spark, _docx_folder(spark, d))), all=True,
+                            cfg=pipeline.SyncConfig(run_id="run-1"), run_ts=fx.run_ts())
+    docs = stores.read("documents").select("title", F.md5("content").alias("content_md5"),
+                                           F.lit(None).cast("string").alias("error"))
+    return docs.unionByName(done.rejects.select(F.col("filename").alias("title"),
+                                                F.lit(None).cast("string").alias("content_md5"), "error"))
+
+
 @query("error_sink")
 def q_error_sink(spark, d):
     pages = fx.manifest(spark, d).where(F.col("mime_type") == fx.HTML_MIME).select(

@@ -531,6 +531,18 @@ reg("incremental_report", with_(*INC_BASE, CLEANUP_NAMES, CURRENT, VECTOR_STORE,
 reg("docx_extract", with_(MANIFEST) + f"""SELECT name,
   array_to_string(list_filter(string_split(content, chr(10)), lambda l: {non_blank('l')}), chr(10)) AS content
   FROM manifest WHERE mime_type <> {lit(fx.HTML_MIME)}""")
+READ_TEXT = f"array_to_string(list_filter(string_split(content, chr(10)), lambda l: {non_blank('l')}), chr(10))"
+BAD_FILE = "'BadZipFile: File is not a zip file'"
+reg("folder_source", with_(MANIFEST) + f"""SELECT name, {READ_TEXT} AS content, CAST(NULL AS VARCHAR) AS error
+  FROM manifest WHERE mime_type <> {lit(fx.HTML_MIME)}
+  UNION ALL SELECT file_id || '.docx', NULL, {BAD_FILE} FROM manifest WHERE mime_type = {lit(fx.HTML_MIME)}""")
+reg("folder_sync", with_(MANIFEST, LABELLED, STORE) + f"""SELECT title, md5(text) AS content_md5,
+    CAST(NULL AS VARCHAR) AS error
+  FROM (SELECT {title_of('name')} AS title, {READ_TEXT} AS text FROM manifest
+        WHERE mime_type <> {lit(fx.HTML_MIME)}) WHERE {non_blank('text')}
+  UNION ALL SELECT title, md5(content), NULL FROM store WHERE title NOT IN
+    (SELECT {title_of('name')} FROM manifest WHERE {non_blank('content')} AND mime_type <> {lit(fx.HTML_MIME)})
+  UNION ALL SELECT file_id || '.docx', NULL, {BAD_FILE} FROM manifest WHERE mime_type = {lit(fx.HTML_MIME)}""")
 reg("error_sink", with_(MANIFEST) + f"""SELECT file_id || '.docx' AS filename,
   'BadZipFile: File is not a zip file' AS error FROM manifest WHERE mime_type = {lit(fx.HTML_MIME)}""")
 
