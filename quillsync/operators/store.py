@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsync.functions.text import stable_id
-from quillsync.operators.matching import document_id, first_match
+from quillsync.operators.matching import document_id, first_match, title_key
 from quillsync.schemas import CHUNKS, DOCUMENTS, conform
 
 REPLACE, APPEND = "replace", "append"
@@ -38,15 +38,21 @@ def keys_of(spark: SparkSession, keys, name: str) -> DataFrame:
 
 # --- lookups ---------------------------------------------------------------
 
-def document_by_title(store: DataFrame, title: str) -> DataFrame:
+def document_by_title(store: DataFrame, title: str, collation: str | None = None) -> DataFrame:
     """First store row with this title (``(created_at, id)`` order), or none."""
-    return first_match(store.where(F.col("title") == F.lit(title)))
+    return first_match(store.where(title_key("title", collation) == title_key(F.lit(title), collation)), collation)
 
 
-def documents_by_titles(store: DataFrame, titles) -> DataFrame:
+def documents_by_titles(store: DataFrame, titles, collation: str | None = None) -> DataFrame:
     """Bulk form of :func:`document_by_title`: every requested title, with its
-    first store row's columns (null when the title is unknown)."""
+    first store row's columns (null when the title is unknown).  Under a ``collation`` every
+    requested spelling is a row; the title is the requested one."""
     t = keys_of(store.sparkSession, titles, "title").distinct()
+    if collation is not None:
+        t = t.withColumn("_title", title_key("title", collation))
+        held = store.withColumn("_title", title_key("title", collation)).join(t.select("_title"), "_title", "left_semi")
+        first = first_match(held.drop("_title"), collation).withColumn("_title", title_key("title", collation))
+        return t.join(first.drop("title"), "_title", "left").drop("_title")
     # only rows with a requested title enter the aggregation
     return t.join(first_match(store.join(t, "title", "left_semi")), "title", "left")
 
@@ -63,9 +69,12 @@ def chunks_for(chunks: DataFrame, doc_ids) -> DataFrame:
             .orderBy("document_id", "chunk_index"))
 
 
-def ids_by_titles(store: DataFrame, titles) -> DataFrame:
+def ids_by_titles(store: DataFrame, titles, collation: str | None = None) -> DataFrame:
     """Ids of every store row whose title is listed (all rows, not the first)."""
     t = keys_of(store.sparkSession, titles, "title")
+    if collation is not None:
+        keyed = store.select("id", title_key("title", collation).alias("_title"))
+        return keyed.join(t.select(title_key("title", collation).alias("_title")), "_title", "left_semi").select("id")
     return store.join(t, "title", "left_semi").select("id")
 
 

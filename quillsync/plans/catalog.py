@@ -203,6 +203,59 @@ def q_read_ids_by_titles(spark, d):
     return store.ids_by_titles(fx.store(spark, d), fx.requested_titles(spark, d))
 
 
+# --- titles under a collation -------------------------------------------------
+
+def _shouted(title):
+    """English documents arrive under titles in capitals."""
+    return F.when(F.col("lang") == "en", F.upper(title)).otherwise(title)
+
+
+@query("collated_match")
+def q_collated_match(spark, d):
+    src = _docs(spark, d).select(_shouted(fx.doc_title()).alias("title"), F.col("text").alias("content"))
+    return matching.match_documents(src, fx.store(spark, d), matching.CASELESS).select("title", "id", "status")
+
+
+@query("collated_first_match")
+def q_collated_first_match(spark, d):
+    """Turns of a conversation whose titles differ in case are one title."""
+    turns = fx.conversation_store(spark, d).withColumn(
+        "title", F.when(F.col("id") < "8", F.upper("title")).otherwise(F.col("title")))
+    return matching.first_match(turns, matching.CASELESS).select("title", "id")
+
+
+@query("collated_lookup")
+def q_collated_lookup(spark, d):
+    asked = fx.requested_titles(spark, d)
+    both = asked.unionByName(asked.select(F.upper("title").alias("title")))
+    return store.documents_by_titles(fx.store(spark, d), both, matching.CASELESS).select("title", "id")
+
+
+@query("collated_cleanup")
+def q_collated_cleanup(spark, d):
+    out = os.path.join(scratch_dir(spark, "cleanup"), uuid.uuid4().hex)
+    names = fx.cleanup_names(spark, d).select(F.concat(F.upper(title_of("name")), F.lit(".docx")).alias("name"))
+    docs, chunks, vecs, _ = pipeline.cleanup(fx.store(spark, d), fx.chunk_store(spark, d), fx.vector_store(spark, d),
+                                             names, out=out, version=1, collation=matching.CASELESS)
+    return (docs.select(F.lit("documents").alias("store"), "id")
+            .unionByName(chunks.select(F.lit("chunks").alias("store"), "id"))
+            .unionByName(vecs.select(F.lit("vectors").alias("store"), "id")))
+
+
+@query("collated_sync")
+def q_collated_sync(spark, d):
+    """Every English file is listed twice, the later one in capitals: one document each."""
+    man = fx.manifest(spark, d)
+    again = man.where(F.col("mime_type") == fx.GDOC_MIME).select(
+        F.concat("file_id", F.lit("-again")).alias("file_id"),
+        F.concat(F.upper(title_of("name")), F.lit(".docx")).alias("name"), "mime_type",
+        (F.col("position") + 1).alias("position"), F.concat("content", F.lit(" Again.")).alias("content"))
+    cfg = pipeline.SyncConfig(run_id="run-1", collation=matching.CASELESS)
+    docs = pipeline.sync(man.unionByName(again), fx.store(spark, d), fx.chunk_store(spark, d),
+                         fx.vector_store(spark, d), all=True, cfg=cfg, run_ts=fx.run_ts()).documents
+    return docs.select("id", "title", F.md5("content").alias("content_md5"))
+
+
 # --- chunking ---------------------------------------------------------------
 
 def _chunk_cols(df):

@@ -263,6 +263,30 @@ reg("read_document_by_title", with_(LABELLED, STORE, REQUESTED) + """SELECT r.ti
   ON r.title = st.title""")
 reg("read_ids_by_titles", with_(LABELLED, STORE, REQUESTED, REQUESTED_IDS) + "SELECT id FROM requested_ids")
 
+# --- titles under a collation ---------------------------------------------------------
+SHOUTED = f"CASE WHEN lang = 'en' THEN upper{doc_title()} ELSE {doc_title()} END"
+reg("collated_match", with_(LABELLED, STORE) + f"""SELECT coalesce(st.title, s.title) AS title, st.id,
+    CASE WHEN st.id IS NULL THEN 'new' WHEN s.content IS NOT DISTINCT FROM st.content THEN 'same' ELSE 'changed' END
+    AS status
+  FROM (SELECT {SHOUTED} AS title, text AS content FROM documents) s
+  LEFT JOIN store st ON lower(s.title) = lower(st.title)""")
+reg("collated_first_match", f"""WITH t AS (
+  SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS title,
+         {doc_id_of("'conv-' || CAST(conv_id AS VARCHAR) || '#' || CAST(turn AS VARCHAR)")} AS id,
+         {fx.EPOCH_2024} + floor(turn / 2) * 60 AS created_at
+  FROM conversations)
+  SELECT first.title, first.id FROM (SELECT arg_min({{'title': CASE WHEN id < '8' THEN upper(title) ELSE title END, 'id': id}}, (created_at, id)) AS first FROM t
+                                     GROUP BY lower(title))""")
+reg("collated_lookup", with_(LABELLED, STORE, REQUESTED) + """SELECT r.title, st.id
+  FROM (SELECT title FROM requested UNION SELECT upper(title) FROM requested) r
+  LEFT JOIN (SELECT lower(title) AS k, arg_min(id, (created_at, id)) AS id FROM store GROUP BY 1) st
+  ON lower(r.title) = st.k""")
+reg("collated_sync", with_(LABELLED, STORE) + f"""SELECT coalesce(st.id, {doc_id_of('s.title')}) AS id,
+    coalesce(st.title, s.title) AS title, md5(s.content) AS content_md5
+  FROM (SELECT {SHOUTED} AS title, CASE WHEN lang = 'en' THEN text || ' Again.' ELSE text END AS content
+        FROM documents) s
+  LEFT JOIN store st ON lower(s.title) = lower(st.title)""")
+
 # --- chunking -------------------------------------------------------------------
 reg("pack_chunks", with_(SRC_DOCS, chunk_ctes("ch", "src_docs"))
     + "SELECT document_id, chunk_index, first_sentence, last_sentence FROM ch")
@@ -363,6 +387,8 @@ reg("cleanup", with_(*CL_BASE, STORE_DOCS, CHUNK_STORE, CURRENT, VECTOR_STORE) +
   UNION ALL SELECT 'chunks', id FROM chunk_store WHERE document_id NOT IN (SELECT id FROM cleanup_ids)
   UNION ALL SELECT 'vectors', id FROM vector_store WHERE document_id NOT IN (SELECT id FROM cleanup_ids)""")
 
+SQL["collated_cleanup"] = SQL["cleanup"]
+
 # --- audit -----------------------------------------------------------------------
 reg("group_chunks_by_document", with_(*EMB_BASE) + """SELECT document_id, count(*) AS chunks,
   min(chunk_index) AS first_index, max(chunk_index) AS last_index, CAST(sum(token_count) AS BIGINT) AS tokens,

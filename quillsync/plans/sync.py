@@ -40,6 +40,7 @@ class SyncConfig:
     skip_unchanged: bool = False
     namespace: str = DEFAULT_NAMESPACE
     match: str = TITLE
+    collation: str | None = None
     embedder: Callable[[Column], Column] | None = None
     splitter: Callable[[Column], Column] | None = None
     counter: Callable[[Column], Column] | None = None
@@ -77,7 +78,7 @@ def process(src: DataFrame, store: DataFrame, cfg: SyncConfig | None = None,
             run_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Source documents (title, content) + store -> (mapped documents, chunks)."""
     cfg = cfg or SyncConfig()
-    m = mapped(drop_blank(src), store, run_ts, cfg.skip_unchanged)
+    m = mapped(drop_blank(src), store, run_ts, cfg.skip_unchanged, cfg.collation)
     return m, cfg.chunks(m)
 
 
@@ -114,7 +115,7 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
     ts = run_ts if run_ts is not None else F.lit(manifest.sparkSession.range(1).select(
         F.current_timestamp()).first()[0])
     listed = list_source(manifest)
-    landed = fetch(manifest, titles, all, cfg.match)
+    landed = fetch(manifest, titles, all, cfg.match, cfg.collation)
     src = landed_documents(landed)
     m, new_chunks = process(src, docs, cfg, ts)
     ver = version if version is not None else cfg.run_id
@@ -169,15 +170,15 @@ def sync(manifest: DataFrame, docs: DataFrame, chunks: DataFrame, vectors: DataF
     return SyncResult(next_docs, next_chunks, next_vectors, rejects, report, m, persisted)
 
 
-def cleanup_ids(store: DataFrame, names) -> DataFrame:
+def cleanup_ids(store: DataFrame, names, collation: str | None = None) -> DataFrame:
     """File names -> titles -> ids of every store row with such a title."""
     n = keys_of(store.sparkSession, names, "name")
-    return ids_by_titles(store, n.select(title_of(F.col("name")).alias("title")))
+    return ids_by_titles(store, n.select(title_of(F.col("name")).alias("title")), collation)
 
 
 def cleanup(docs: DataFrame, chunks: DataFrame, vectors: DataFrame, names,
             namespace: str = DEFAULT_NAMESPACE, out: str | None = None,
-            version: str | int | None = None
+            version: str | int | None = None, collation: str | None = None
             ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Delete the named documents, their chunks (cascade) and their vectors in ``namespace``.
 
@@ -188,7 +189,7 @@ def cleanup(docs: DataFrame, chunks: DataFrame, vectors: DataFrame, names,
     """
     if out and version is None:
         raise ValueError("a written cleanup needs a version")
-    ids = cut_lineage(cleanup_ids(docs, names))
+    ids = cut_lineage(cleanup_ids(docs, names, collation))
     report = delete_report(ids, docs, chunks, vectors, namespace)
     docs2, chunks2 = delete_documents(docs, chunks, ids)
     vectors2 = delete_vectors(vectors, ids.select(F.col("id").alias("_doc")), namespace)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsync.functions.text import DOCX_SUFFIX, title_of
-from quillsync.operators.matching import first_per_key
+from quillsync.operators.matching import first_per_key, title_key
 from quillsync.operators.store import keys_of
 from quillsync.schemas import DOCUMENT_MIME_TYPES
 
@@ -37,12 +37,12 @@ def scan_folder(spark: SparkSession, path: str, suffix: str = DOCX_SUFFIX) -> Da
 
 
 def select_files(files: DataFrame, titles=None, all: bool = True,
-                 match: str = TITLE) -> DataFrame:
+                 match: str = TITLE, collation: str | None = None) -> DataFrame:
     """``all`` -> every file.  Otherwise the files whose name is requested; an
     empty or missing request list selects nothing.
 
     ``match="raw"`` compares the raw file name (the reference's code);
-    ``match="title"`` compares the name's title (its documented behaviour).
+    ``match="title"`` compares the name's title (its documented behaviour), under ``collation`` if given.
     """
     if all:
         return files
@@ -51,26 +51,31 @@ def select_files(files: DataFrame, titles=None, all: bool = True,
         return files.limit(0)
     t = keys_of(spark, titles, "_t")
     key = F.col("name") if match == RAW else title_of(F.col("name"))
-    return (files.withColumn("_t", key).join(t, "_t", "left_semi").drop("_t"))
+    t = t.select(title_key("_t", collation).alias("_t"))
+    return files.withColumn("_t", title_key(key, collation)).join(t, "_t", "left_semi").drop("_t")
 
 
-def land_names(files: DataFrame) -> DataFrame:
+def land_names(files: DataFrame, collation: str | None = None) -> DataFrame:
     """Landed file name (title + .docx) per file; when two files land on the same
     name the later one (highest ``position``) wins, as a later download
     overwrites an earlier one.
 
     The dedupe is keyed by ``title`` (one title <-> one landed name), so its
-    output stays hash-partitioned by the key the document match joins on."""
+    output stays hash-partitioned by the key the document match joins on.  Names that are equal
+    under ``collation`` land on one file, under the later one's spelling."""
     titled = files.withColumn("title", title_of(F.col("name")))
-    won = first_per_key(titled, "title", F.struct((-F.col("position")).alias("p"),
-                                                  F.col("file_id")))
+    later = F.struct((-F.col("position")).alias("p"), F.col("file_id"))
+    if collation is None:
+        won = first_per_key(titled, "title", later)
+    else:
+        won = first_per_key(titled.withColumn("_title", title_key("title", collation)), "_title", later).drop("_title")
     return won.withColumn("landed_name", F.concat(F.col("title"), F.lit(DOCX_SUFFIX)))
 
 
 def fetch(manifest: DataFrame, titles=None, all: bool = False,
-          match: str = TITLE) -> DataFrame:
+          match: str = TITLE, collation: str | None = None) -> DataFrame:
     """list -> select -> land: one row per landed name with the winning file."""
-    return land_names(select_files(list_source(manifest), titles, all, match))
+    return land_names(select_files(list_source(manifest), titles, all, match, collation), collation)
 
 
 def filter_requested(files: DataFrame, names=None, name_col: str = "landed_name") -> DataFrame:
