@@ -785,3 +785,46 @@ def q_sync_stream(spark, d):
     out = ss.run_available(spark, landing, stores, ckpt, max_files_per_trigger=1,
                            cfg=pipeline.SyncConfig(run_id="stream"))
     return out["chunks"].select("id", "document_id", _long("chunk_index"), _long("token_count"))
+
+
+def _two_landings(spark, d):
+    """The manifest, then a later one: English documents edited, toxic ones deleted by name."""
+    first = fx.manifest(spark, d).withColumn("op", F.lit(None).cast("string"))
+    edits = first.where(F.col("mime_type") == fx.GDOC_MIME).withColumn("content", F.concat("content", F.lit(" Again.")))
+    gone = fx.cleanup_names(spark, d).select(
+        F.concat(F.lit("del-"), F.col("name")).alias("file_id"), "name", F.lit(None).cast("string").alias("mime_type"),
+        F.lit(None).cast("string").alias("content"), F.lit("delete").alias("op"))
+    later = edits.withColumn("position", F.col("position") * 2 + 1) \
+        .unionByName(gone.withColumn("position", F.lit(1 << 40)))
+    return first, later
+
+
+@query("stream_match")
+def q_stream_match(spark, d):
+    """Two landings matched by keyed state, each by a run of its own: the second goes on from the first's checkpoint."""
+    from quillsync.streaming import sync_stream as ss
+    from quillsync.streaming import title_state
+    base = os.path.join(scratch_dir(spark, "stream"), uuid.uuid4().hex)
+    landing, out, ckpt = (os.path.join(base, x) for x in ("landing", "out", "checkpoint"))
+    for rows in _two_landings(spark, d):
+        ss.land(rows, landing, files=4)
+        events = title_state.events(spark.readStream.schema(ss.EVENT_FILES).parquet(landing))
+        title_state.run_available(events, title_state.known_titles(fx.store(spark, d)), out, ckpt)
+    return spark.read.schema(title_state.DECISIONS).parquet(out).select(
+        "title", "id", "status", "position", F.md5("content").alias("content_md5"))
+
+
+@query("sync_stream_keyed")
+def q_sync_stream_keyed(spark, d):
+    """The same two landings synced into the stores: every document left, with its numbers of chunks and tokens."""
+    from quillsync.streaming import sync_stream as ss
+    base = os.path.join(scratch_dir(spark, "stream"), uuid.uuid4().hex)
+    landing, stores, ckpt = (os.path.join(base, x) for x in ("landing", "stores", "checkpoint"))
+    ss.init_stores(stores, fx.store(spark, d), fx.chunk_store(spark, d), fx.vector_store(spark, d),
+                   buckets=16, postings_buckets=32)
+    for rows in _two_landings(spark, d):
+        ss.land(rows, landing, files=4)
+        out = ss.run_available(spark, landing, stores, ckpt, keyed=True, cfg=pipeline.SyncConfig(run_id="keyed"))
+    chunks = out["chunks"].groupBy(F.col("document_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("chunks"), F.sum(F.col("token_count").cast("long")).alias("tokens"))
+    return out["documents"].select("id", "title", F.md5("content").alias("content_md5")).join(chunks, "id")

@@ -576,3 +576,20 @@ reg("error_sink", with_(MANIFEST) + f"""SELECT file_id || '.docx' AS filename,
 # every source document is mapped by some batch, and replace mode leaves exactly
 # the chunks of the mapped documents
 SQL["sync_stream"] = SQL["insert_chunks"]
+
+LATER = """later AS (SELECT d.doc_id, m.title, m.id, coalesce(l.toxic, 0) = 1 AS gone, d.lang = 'en' AS edited,
+         d.text || ' Again.' AS content
+  FROM documents d JOIN mapped m ON m.title = d.source || '-' || CAST(d.doc_id AS VARCHAR)
+  LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
+reg("stream_match", with_(SRC, LABELLED, STORE, MATCHED, MAPPED, LATER) + f"""
+  SELECT m.title, m.id, m.status, s.doc_id AS position,
+         CASE WHEN m.status <> 'same' THEN md5(m.content) END AS content_md5
+  FROM mapped m JOIN src s ON s.title = m.title
+  UNION ALL SELECT title, id, 'deleted', {1 << 40}, NULL FROM later WHERE gone
+  UNION ALL SELECT title, id, 'changed', doc_id * 2 + 1, md5(content) FROM later WHERE edited AND NOT gone""")
+LEFT_DOCS = """left_docs AS (SELECT l.id, l.title, CASE WHEN edited THEN l.content ELSE m.content END AS content
+  FROM later l JOIN mapped m ON m.title = l.title WHERE NOT gone)"""
+reg("sync_stream_keyed", with_(SRC, LABELLED, STORE, MATCHED, MAPPED, LATER, LEFT_DOCS, chunk_ctes("lch", "left_docs"))
+    + """SELECT d.id, d.title, md5(d.content) AS content_md5, c.chunks, c.tokens FROM left_docs d
+  JOIN (SELECT document_id AS id, count(*) AS chunks, CAST(sum(token_count) AS BIGINT) AS tokens FROM lch
+        GROUP BY document_id) c ON c.id = d.id""")

@@ -10,7 +10,8 @@ TABLES = "documents embeddings pages benchmark labels conversations".split()
 # a representative slice of the catalog, compared with its SQL twin at sf0.001
 FAST = ["make_chunks", "match_documents", "reconcile_stores", "vector_upsert", "cleanup",
         "similarity_topk", "retrieve_context", "sync_report", "docx_extract",
-        "embedding_rejects", "delete_vectors_namespaced", "retrieve_stale_context"]
+        "embedding_rejects", "delete_vectors_namespaced", "retrieve_stale_context", "stream_match",
+        "collated_match", "collated_sync"]
 
 
 def test_entry_runs(spark):

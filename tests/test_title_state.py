@@ -1,0 +1,106 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from quillsync.operators.audit import reconcile
+from quillsync.operators.store import with_chunk_ids
+from quillsync.plans import incremental
+from quillsync.plans.sync import SyncConfig
+from quillsync.schemas import DOCX_MIME, VECTORS, empty
+from quillsync.streaming import sync_stream as ss
+from quillsync.streaming import title_state as ts
+
+EVENTS = "title string, content string, op string, position long, file_id string"
+
+
+@pytest.fixture
+def match(spark, scratch):
+    """Lands rows, runs the stream over them, returns the new decisions."""
+    seen = []
+
+    def step(rows, known):
+        spark.createDataFrame(rows, EVENTS).repartition(3).write.mode("append").parquet(f"{scratch}/land")
+        ts.run_available(spark.readStream.schema(EVENTS).parquet(f"{scratch}/land"), known, f"{scratch}/out", f"{scratch}/ck")
+        got = sorted((r.title or "", r.status, r.id, -9 if r.position is None else r.position, r.content or "")
+                     for r in spark.read.parquet(f"{scratch}/out").collect())
+        new = [g for g in got if g not in seen]
+        seen.extend(new)
+        return new
+    return step
+
+
+def _store(spark, rows):
+    return spark.createDataFrame(rows, "id string, title string, content string, t string").select(
+        "id", "title", "content", F.to_timestamp("t").alias("created_at"), F.to_timestamp("t").alias("updated_at"))
+
+
+def _fresh(spark, title):
+    return spark.range(1).select(ts.document_id(F.lit(title).cast("string"))).first()[0]
+
+
+def test_two_runs_go_on_from_the_state_without_the_store(spark, match):
+    store = _store(spark, [("1", "a", "x", "2024-01-01"), ("2", "a", "y", "2023-01-01"), ("3", "b", "z", None),
+                           ("4", "g", None, "2024-01-01")])
+    first = [("a", "y", None, 1, "f"), ("b", "q", "put", 1, "f"), ("c", "n", None, 2, "f"), ("c", "m", None, 3, "f"),
+             (None, "n", None, 2, "f"), ("zz", None, "delete", 2, "f"), ("g", None, None, None, None),
+             ("t", "1", None, 5, "f2"), ("t", "2", None, 5, "f1"), ("r", "s", None, 1, "f"), ("r", "s", None, 1, "f"),
+             ("u", "s", None, 1, "f"), ("u", None, "delete", 2, "f"), ("v", "s", None, 2, "f"), ("v", None, "delete", 2, "f")]
+    fresh = {t: _fresh(spark, t) for t in (None, "a", "c", "t", "r", "v")}
+    assert match(first, ts.known_titles(store)) == sorted([
+        ("", "new", fresh[None], 2, "n"), ("a", "same", "2", 1, ""), ("b", "changed", "3", 1, "q"),
+        ("c", "new", fresh["c"], 3, "m"), ("g", "same", "4", -9, ""), ("r", "new", fresh["r"], 1, "s"),
+        ("t", "new", fresh["t"], 5, "2"), ("v", "new", fresh["v"], 2, "s")])
+    # a store that cannot be read any more: the second run must not touch it
+    broken = ts.known_titles(store).withColumn("id", F.raise_error(F.lit("the store was read")).cast("string"))
+    later = [("a", None, "delete", 5, "f"), ("a", "y", None, 6, "f"), ("b", "q", "put", 7, "f"), ("b", None, "delete", 8, "f"),
+             ("c", "n", None, 9, "f"), (None, "n", None, 4, "f")]
+    assert match(later, broken) == sorted([
+        ("", "same", fresh[None], 4, ""), ("a", "deleted", "2", 5, ""), ("a", "new", fresh["a"], 6, "y"),
+        ("b", "deleted", "3", 8, ""), ("c", "changed", fresh["c"], 9, "n")])
+
+
+def test_empty_store_and_a_title_with_most_rows(spark, match):
+    rows = [("hot", f"v{i}", None, i, "f") for i in range(3000)] + [("cold", "x" * 200_000, None, 1, "f")]
+    got = match(rows, ts.known_titles(empty(spark, ss.DOCUMENTS)))
+    assert [(t, s, p, len(c)) for t, s, _, p, c in got] == [("cold", "new", 1, 200_000), ("hot", "new", 2999, 5)]
+
+
+def test_events_keep_documents_and_all_deletes(spark):
+    rows = [("1", "a.docx", DOCX_MIME, 1, "x", None), ("2", "b.docx", "text/html", 1, "x", None),
+            ("3", "c.docx", DOCX_MIME, 1, "  ", None), ("4", "d.docx", None, None, None, "delete")]
+    man = spark.createDataFrame(rows, "file_id string, name string, mime_type string, position int, content string, op string")
+    assert [(r.title, r.op) for r in ts.events(man).orderBy("title").collect()] == [("a", "put"), ("d", "delete")]
+    assert ts.events(man.drop("op")).count() == 1
+
+
+def test_keyed_stream_keeps_the_stores_in_step(spark, scratch):
+    landing, stores, ckpt = (os.path.join(scratch, x) for x in ("landing", "stores", "ckpt"))
+    docs = _store(spark, [("1", "a", "One two. Three.", "2024-01-01"), ("2", "b", "Four five.", "2024-01-01"),
+                          ("3", "kept", "Six.", "2024-01-01")])
+    chunks = with_chunk_ids(SyncConfig().chunks(docs), F.lit("2024-01-01").cast("timestamp"))
+    ss.init_stores(stores, docs, chunks, empty(spark, VECTORS), buckets=4, postings_buckets=4)
+
+    def land(*rows):
+        ss.land(spark.createDataFrame(rows, "name string, content string, op string, position int").select(
+            F.col("name").alias("file_id"), "name", F.lit(DOCX_MIME).alias("mime_type"), "position", "content", "op"),
+            landing, files=1)
+        return ss.run_available(spark, landing, stores, ckpt, keyed=True)
+
+    out = land(("a.docx", "One two. Changed.", None, 1), ("b.docx", None, "delete", 2), ("new.docx", "Seven.", None, 3))
+    held = {r.title: r for r in out["documents"].collect()}
+    assert {t: r.content for t, r in held.items()} == {"a": "One two. Changed.", "kept": "Six.", "new": "Seven."}
+    assert held["a"].id == "1" and str(held["a"].created_at).startswith("2024-01-01")
+    made = held["new"].created_at
+    out = land(("a.docx", None, "delete", 1), ("a.docx", "Again.", None, 2), ("new.docx", "Eight.", None, 3))
+    held = {r.title: r for r in out["documents"].collect()}
+    assert {t: r.content for t, r in held.items()} == {"a": "Again.", "kept": "Six.", "new": "Eight."}
+    assert held["new"].created_at == made and held["a"].id != "1"
+    assert {r.document_id for r in out["chunks"].collect()} == {r.id for r in held.values()}
+    drift = reconcile(out["chunks"].where(F.col("document_id") != "3"), out["vectors"]).where("status <> 'ok'")
+    assert drift.count() == 0
+    version = ss.latest_version(spark, stores)
+    # a retried batch finds its commits and changes nothing
+    again = incremental.apply(incremental.open_stores(spark, stores), empty(spark, ss.DOCUMENTS).withColumn("status", F.lit("new")),
+                              SyncConfig(run_id="batch-1"))
+    assert again.version is None and ss.latest_version(spark, stores) == version
