@@ -39,9 +39,10 @@ HITS_BROADCAST_MAX = 1_000_000
 TOPK_SCHEMA = "query_id string, id string, score double"
 
 
-# A scoring step holds at most this many query x vector scores (8M doubles,
-# 64 MB): vector batches are scored in column slices of that size.
-MAX_SCORE_CELLS = 8_000_000
+# A scoring step holds at most this many query x vector scores (1M doubles,
+# 8 MB, of which up to four copies are alive at once): vector batches are scored
+# in column slices of that size.
+MAX_SCORE_CELLS = 1_000_000
 
 
 def _merge_topk(best: list, S, ids, k: int) -> None:
