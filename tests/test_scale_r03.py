@@ -112,3 +112,60 @@ def test_scoring_holds_few_scores_at_once(monkeypatch):
     assert max(held) <= 8 << 20
     want = np.round(q[:20] @ v.T, retrieval.SCORE_DECIMALS)
     assert [[s for s, _ in b] for b in best[:20]] == np.sort(want, axis=1)[:, :-4:-1].tolist()
+
+
+def test_a_large_change_cuts_the_terms_of_some_documents_only(spark, scratch, monkeypatch):
+    """Where the first documents' terms lie in every bucket, the others' are not looked up; else all are."""
+    from pyspark.sql import functions as F
+
+    from quillsync.plans import incremental as inc
+    from quillsync.schemas import CHUNKS, VECTORS, empty
+
+    ts = F.timestamp_seconds(F.lit(1704067200))
+    texts = [(f"i{i}", f"t{i}", " ".join(f"w{i}x{j}" for j in range(5))) for i in range(12)] + [("one", "one", "alone")]
+    docs = spark.createDataFrame(texts, "id string, title string, content string") \
+        .withColumn("created_at", ts).withColumn("updated_at", ts)
+    monkeypatch.setattr(inc, "FIRST_DOCUMENTS", 4)
+    cut = []
+    keys = inc.postings.keys_of
+    monkeypatch.setattr(inc.postings, "keys_of", lambda df, *a: cut.append(df.count()) or keys(df, *a))
+    for folder, buckets, calls in (("few", 2, 1), ("many", 64, 2)):
+        stores = inc.open_stores(spark, f"{scratch}/{folder}", buckets=2, postings_buckets=buckets)
+        inc.load(stores, docs, empty(spark, CHUNKS), empty(spark, VECTORS))
+        cut.clear()
+        inc.cleanup(stores, [f"t{i}.docx" for i in range(12)], run="c")
+        assert len(cut) == calls and cut[0] < 12 and cut[calls - 1] == (cut[0] if calls == 1 else 12)
+        assert [r.document_id for r in stores.read("postings").collect()] == ["one"]
+
+
+def test_buckets_of_tokens_are_read_from_base64(spark):
+    """Every bucket, and no number made of the digits of each token's md5."""
+    from pyspark.sql import functions as F
+
+    from quillsync.operators import embed
+
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(600)] + ["é", "数据", "🙂", "+", "/", "="]
+    rows = [(" ".join(rng.choice(words, n)),) for n in (1, 5, 700, 3000)] + [(" ".join(words),), (" ",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    made = df.select(embed.hashing_embedder()(F.col("t")).alias("v"))
+    want = df.select(embed._hashing_embedder_arrays(64)(F.col("t")).alias("v"))
+    assert [r.v for r in made.collect()] == [r.v for r in want.collect()]
+    assert min(made.collect()[4].v) > 0 and made.collect()[5].v is None
+    assert "conv(" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_clean_paragraphs_are_not_translated():
+    from quillsync.sources import docx
+
+    asked = []
+
+    class Text(str):
+        def translate(self, table):
+            asked.append(str(self))
+            return super().translate(table)
+
+    plain = ["one & <two>", "tab\tend", "^-]\\ é \U0001f642"]
+    assert docx._paragraph_texts(docx._build_docx([Text(p) for p in plain])) == plain and not asked
+    bad = [f"a{chr(c)}b" for c in docx.NOT_XML]
+    assert docx._paragraph_texts(docx._build_docx([*bad, "c"])) == ["ab"] * len(bad) + ["c"]
