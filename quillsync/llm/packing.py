@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsync.llm.text import local, slices
+from quillsync.llm.text import local, released, slices
 
 TOKENS = 2048
 SEGMENTS = 256
@@ -78,6 +78,10 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empties the cache; two generations in a worker that waits take more than the tokenizers do."""
+        self.cache, self.old = {}, {}
+
     def _plain(self, text: str) -> bytes:
         if len(text) > LONG:
             return array("I", self.slow.encode(text, add_special_tokens=False).ids).tobytes()
@@ -245,14 +249,17 @@ def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
         enc = encoder(tokenizer_file)
         end = np.array([END], dtype="<u4").tobytes()
         packer = Packer(TaskContext.get().partitionId() << 40, tokens, segments, loss)
-        for b in slices(batches):
-            for doc, start, text in zip(*(b.column(c).to_pylist() for c in ("id", "prompt", "text"))):
-                packer.add(doc, enc.encode(text) + end, start)
-            yield _batch(packer)
+        try:
+            for b in slices(batches):
+                for doc, start, text in zip(*(b.column(c).to_pylist() for c in ("id", "prompt", "text"))):
+                    packer.add(doc, enc.encode(text) + end, start)
+                yield _batch(packer)
+        finally:
+            enc.forget()
         packer.finish()
         yield _batch(packer)
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(released(run), SCHEMA)
 
 
 def _batch(packer: Packer) -> pa.RecordBatch:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsync.llm.text import SPACE, Words, local, slices
+from quillsync.llm.text import SPACE, Words, local, released, slices
 
 TRAIN_ROWS = 6000
 WORD_BUCKETS = 1 << 14
@@ -202,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                  pa.array([x[a:e].astype(np.float16).tobytes() for a, e in cut], pa.binary())],
                 names=["id", "y", "i", "x"])
 
-    got = known.mapInArrow(run, "id string, y int, i binary, x binary").collect()  # <= rows
+    got = known.mapInArrow(released(run), "id string, y int, i binary, x binary").collect()  # <= rows
     got.sort(key=lambda r: (r.id, r.y, r.i))
     parts = [np.frombuffer(r.i, np.int32) for r in got]
     ptr = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
@@ -233,4 +233,4 @@ def score(docs: DataFrame, model: dict, text_col: str = "text",
                 [*cols, pa.array(s), pa.array((s >= threshold).astype(np.int32))],
                 names=[*kept, "score", "predicted"])
 
-    return flat.mapInArrow(run, schema)
+    return flat.mapInArrow(released(run), schema)
