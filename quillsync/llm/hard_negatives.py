@@ -41,7 +41,8 @@ FIT_ROUNDS = 8
 ANCHORS_PER_CLUSTER = 32       # of the fitted ones
 MEMBERS = 128                  # anchors that share a list
 SEGMENT_CELLS = 1 << 21        # components of the vectors that are sorted together
-CHUNK = 512                    # places of the list that are scored together
+CHUNK = 1024                   # places of the list that are scored together, at most
+FIRST_CHUNK = 32               # at its head, where no entry is known yet; doubled from there on
 SLACK = 1e-6
 
 RESULT = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
@@ -117,39 +118,53 @@ class Part:
         the score below which a member needs nothing more.  Returns how many scores were made."""
         order, bound = self.shared_list(unit, size)
         members, made = np.arange(len(self.x)), 0
-        for at in range(0, len(order), CHUNK):
-            places = order[at:at + CHUNK]
+        at, step = 0, FIRST_CHUNK
+        while at < len(order) and len(members):
+            places = order[at:at + step]
             need = visit(members, places, products(self.x[members], x[places]))
             made += len(members) * len(places)
-            if at + CHUNK < len(order):
-                most = self.size[members] * bound[at + CHUNK]
+            at, step = at + step, min(2 * step, CHUNK)
+            if at < len(order):
+                most = self.size[members] * bound[at]
                 members = members[most + SLACK * np.abs(most) >= need]
-                if not len(members):
-                    break
         return made
 
 
 class Best:
-    """The first ``k`` entries (score, id) of every key, and each key's last score once it has k."""
+    """The first ``k`` entries (score, id) of every key, and each key's last score once it has k.
+
+    New entries are gathered and sorted in once they are as many as those held, so that an entry costs
+    about one place of a sort; until then floors are lower than they could be, which only lets more pass."""
 
     def __init__(self, keys: int, k: int):
-        self.k = k
+        self.k, self.most = k, max(1024, keys * k)
         self.floor = np.full(keys, NONE)
-        self.key, self.score, self.id = (np.zeros(0, dtype=np.int64) for _ in range(3))
-        self.own = np.zeros(0, dtype=bool)
+        none = np.zeros(0, dtype=np.int64)
+        self.held, self.new = [(none, none, none, np.zeros(0, dtype=bool))], 0
 
     def add(self, key, score, vec, own=None) -> None:
-        good = score >= self.floor[key]
-        if not good.any():
+        good = np.flatnonzero(score >= self.floor[key])
+        if not len(good):
             return
-        own = np.zeros(len(key), dtype=bool) if own is None else own
-        self.key, self.score = np.concatenate([self.key, key[good]]), np.concatenate([self.score, score[good]])
-        self.id, self.own = np.concatenate([self.id, vec[good]]), np.concatenate([self.own, own[good]])
-        left = lattice.firsts(self.key, self.score, self.id, self.k)
-        self.key, self.score, self.id, self.own = (c[left] for c in (self.key, self.score, self.id, self.own))
-        # by key and falling score: the k-th of a key is its floor
-        full = np.flatnonzero(self.key[self.k - 1:] == self.key[:len(self.key) - self.k + 1])
-        self.floor[self.key[full]] = self.score[full + self.k - 1]
+        own = np.zeros(len(good), dtype=bool) if own is None else own[good]
+        self.held.append((key[good], score[good], vec[good], own))
+        self.new += len(good)
+        if self.new >= self.most:
+            self.entries()
+
+    def entries(self) -> tuple[np.ndarray, ...]:
+        """(key, score, id, own) of the first entries so far, by key; floors are up to date after it."""
+        if self.new:
+            key, score, vec, own = (np.concatenate(c) for c in zip(*self.held))
+            left = lattice.firsts(key, score, vec, self.k)
+            key = key[left]
+            self.held, self.new = [(key, score[left], vec[left], own[left])], 0
+            # by key and falling score: the k-th of a key is its floor
+            full = np.flatnonzero(key[self.k - 1:] == key[:len(key) - self.k + 1])
+            self.floor[key[full]] = self.held[0][1][full + self.k - 1]
+        return self.held[0]
+
+    key, score, id, own = (property(lambda self, i=i: self.entries()[i]) for i in range(4))
 
 
 def _segments(batches, dim: int, scale: float):
@@ -175,20 +190,24 @@ def _segment(held, dim: int):
 def _positives(shared, keep: int, scale: float):
     """(at, id, score, own): this task's first rows of each anchor's label."""
     def run(batches):
-        parts, dim, n = shared.value
-        best = Best(n, keep)
+        parts, dim, _ = shared.value
+        # a part's entries are sorted by themselves, whatever the number of anchors
+        found = [Best(len(part.x), keep) for part in parts]
         for x, unit, size, ids, labels in _segments(batches, dim, scale):
-            for part in parts:
-                def visit(members, places, scores, part=part):
-                    m, p = np.nonzero(part.labels[members, None] == labels[places])
+            for part, best in zip(parts, found):
+                def visit(members, places, scores, part=part, best=best):
+                    m, p = np.nonzero((scores >= best.floor[members][:, None])
+                                      & (part.labels[members, None] == labels[places]))
                     score, p, m = scores[m, p], places[p], members[m]
                     own = ids[p] == part.ids[m]
                     own[own] = (x[p[own]] == part.x[m[own]]).all(axis=1)
-                    best.add(part.first + m, score, ids[p], own)
-                    return best.floor[part.first + members]
+                    best.add(m, score, ids[p], own)
+                    return best.floor[members]
                 part.walk(x, unit, size, visit)
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (best.key, best.id, best.score, best.own)],
-                                         ["at", "id", "score", "own"])
+        for part, best in zip(parts, found):
+            key, score, vec, own = best.entries()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (part.first + key, vec, score, own)],
+                                             ["at", "id", "score", "own"])
     return run
 
 
@@ -196,25 +215,33 @@ def _negatives(shared, per_anchor: int, keep: int, scale: float):
     """(slot, id, score): this task's first rows within each slot's range, of other labels than the
     anchor's.  A slot is an anchor's place times ``per_anchor`` plus a positive's."""
     def run(batches):
-        parts, dim, n, low, high = shared.value
-        best = Best(n * per_anchor, keep)
+        parts, dim, _, low, high = shared.value
+        # a row per member, a column per slot; a slot without a range (low above high) needs nothing
+        low, high = low.reshape(-1, per_anchor), high.reshape(-1, per_anchor)
+        found = [Best(len(part.x) * per_anchor, keep) for part in parts]
         for x, unit, size, ids, labels in _segments(batches, dim, scale):
-            for part in parts:
-                def visit(members, places, scores, part=part):
-                    other = part.labels[members, None] != labels[places]
-                    need = np.full(len(members), np.iinfo(np.int64).max)
-                    for j in range(per_anchor):
-                        slot = (part.first + members) * per_anchor + j
-                        least = np.maximum(best.floor[slot], low[slot])
-                        m, p = np.nonzero(other & (scores >= least[:, None]) & (scores <= high[slot][:, None]))
-                        best.add(slot[m], scores[m, p], ids[places[p]])
-                        # a slot without a range (low above high) needs nothing
-                        now = np.maximum(best.floor[slot], low[slot])
-                        need = np.minimum(need, np.where(low[slot] <= high[slot], now, need))
-                    return need
+            for part, best in zip(parts, found):
+                of = slice(part.first, part.first + len(part.x))
+
+                def least(members, best=best, lo=low[of], hi=high[of]):
+                    now = np.maximum(best.floor.reshape(-1, per_anchor)[members], lo[members])
+                    return np.where(lo[members] <= hi[members], now, np.iinfo(np.int64).max)
+
+                def visit(members, places, scores, part=part, best=best, hi=high[of], least=least):
+                    # what any slot of a member may take, then slot by slot
+                    need = least(members)
+                    m, p = np.nonzero((scores >= need.min(axis=1)[:, None])
+                                      & (scores <= hi[members].max(axis=1)[:, None])
+                                      & (part.labels[members, None] != labels[places]))
+                    score, p = scores[m, p], places[p]
+                    e, j = np.nonzero((score[:, None] >= need[m]) & (score[:, None] <= hi[members[m]]))
+                    best.add(members[m[e]] * per_anchor + j, score[e], ids[p[e]])
+                    return least(members).min(axis=1)
                 part.walk(x, unit, size, visit)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (best.key, best.id, best.score, best.own)], ["slot", "id", "score", "own"])
+        for part, best in zip(parts, found):
+            key, score, vec, own = best.entries()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (part.first * per_anchor + key, vec, score, own)],
+                                             ["slot", "id", "score", "own"])
     return run
 
 

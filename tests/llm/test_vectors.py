@@ -160,3 +160,23 @@ def test_empty_tables(spark):
     none = frame(spark, ODD)
     assert threshold_topk.topk(none, none.where("vec_id = 12345"), 5).collect() == []
     assert hard_negatives.mine(none, F.lit(False)).collect() == []
+
+
+def test_best_entries_cost_a_sort_now_and_then(monkeypatch):
+    # many keys, few new entries a time: sorting all that is held each time made the walks cubic
+    rng = np.random.default_rng(4)
+    sizes = []
+    firsts = lattice.firsts
+    monkeypatch.setattr(lattice, "firsts", lambda keys, *rest: sizes.append(len(keys)) or firsts(keys, *rest))
+    n, k, steps = 500, 4, 400
+    best = hard_negatives.Best(n, k)
+    added = []
+    for _ in range(steps):
+        key, score, vec = rng.integers(0, n, 100), rng.integers(0, 1000, 100), rng.integers(0, 10 ** 6, 100)
+        added.append((key, score, vec))
+        best.add(key, score, vec)
+    key, score, vec, _ = best.entries()
+    a, b, c = (np.concatenate(x) for x in zip(*added))
+    want = [sorted(zip(-b[a == i], c[a == i]))[:k] for i in range(n)]
+    assert [sorted(zip(-score[key == i], vec[key == i])) for i in range(n)] == want
+    assert sum(sizes) <= 4 * steps * 100
