@@ -1,0 +1,62 @@
+"""What a run of the incremental sync leaves on disk while it runs, and what it shuffles."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from quillsync.operators import postings
+from quillsync.plans import incremental as inc
+from quillsync.plans.sync import SyncConfig
+from quillsync.schemas import CHUNKS, DOCX_MIME
+
+
+def _manifest(spark, texts):
+    rows = [(f"f{i}", f"doc{i}.docx", DOCX_MIME, i, t) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "file_id string, name string, mime_type string, position long, content string")
+
+
+def test_run_holds_a_text_once_or_twice_and_cleans_up(spark, scratch, monkeypatch):
+    texts = [f"Text {i} stands here. And one more sentence of it." for i in range(20)]
+    stores = inc.open_stores(spark, f"{scratch}/stores", buckets=2, postings_buckets=4)
+    with_text, cleaned = [], []
+    written = inc._Run.written
+
+    def watched(run, df, name):
+        out = written(run, df, name)
+        held = [n for n in os.listdir(run.base) if {"content", "paragraphs"} & set(spark.read.parquet(f"{run.base}/{n}").columns)]
+        with_text.append((name, sorted(held)))
+        return out
+
+    monkeypatch.setattr(inc._Run, "written", watched)
+    for module in ("quillsync.plans.incremental", "quillsync.operators.bucketed"):
+        monkeypatch.setattr(f"{module}.clean_up", lambda s: cleaned.append(1))
+    for run in ("one", "two"):
+        inc.sync(stores, _manifest(spark, [f"{t} {run}." for t in texts]), all=True, cfg=SyncConfig(run_id=run))
+    assert max(len(held) for _, held in with_text) == 2      # source, mapped, changes, chunks and embedded before
+    assert len(cleaned) >= len(with_text) + 8
+    got = {r.title: r.content for r in stores.read("documents").collect()}
+    assert got == {f"doc{i}": f"{t} two." for i, t in enumerate(texts)}
+    assert stores.read("chunks").count() == stores.read("vectors").count()
+
+
+def test_changes_by_hash_are_those_by_content(spark):
+    old = [("a", "d1", 0, "x y", 2, None), ("b", "d1", 1, "z", 1, None), ("c", "d2", 0, "q", 1, None), ("e", None, 0, "q", 1, None)]
+    new = [("d1", 0, "x y", 2), ("d1", 1, "new", 1), ("d1", 2, "z", 1), ("d3", 0, "q", 1), ("d1", 2, "z", 1), (None, 0, "q", 1)]
+    store = spark.createDataFrame([o for o in old if o[1] is not None], CHUNKS)
+    rows = spark.createDataFrame(new, "document_id string, chunk_index int, content string, token_count int")
+    hashed = rows.withColumn("hash", F.md5("content")).drop("content")
+    cols = ["kind", "id", "document_id", "chunk_index", "token_count"]
+    by_content = sorted(map(str, inc.chunk_changes(rows, store).select(*cols).collect()))
+    assert sorted(map(str, inc.chunk_changes(hashed, store).select(*cols).collect())) == by_content
+    assert "content" not in inc.chunk_changes(hashed, store).columns
+
+
+def test_slots_of_postings_are_made_after_the_shuffle(spark, scratch):
+    stores = inc.open_stores(spark, f"{scratch}/stores", buckets=2, postings_buckets=4)
+    docs = spark.createDataFrame([("1", "a b a"), ("2", "b c")], "id string, content string")
+    txn = stores.begin("p")
+    txn.replace("postings", postings.postings_of(docs))
+    txn.commit()
+    want = sorted(map(tuple, postings.postings_of(docs).select("slot", "term", "document_id", "tf").collect()))
+    assert sorted(map(tuple, stores.read("postings").select("slot", "term", "document_id", "tf").collect())) == want
+    assert list(stores.tables["postings"].derived()) == ["slot"]
